@@ -1,0 +1,274 @@
+"""The same results as plain SQL for DuckDB, written without the Spark code's shortcuts.
+
+The panel is a range join here, ranks are windows over all rows, and checks
+are one statement each; equal results therefore say something.
+"""
+
+from mensura.plans import features
+from mensura.schemas import (
+    DIM_POZO,
+    FCT_PRODUCCION,
+    FEAT_OFFLINE,
+    FEAT_ONLINE,
+    MEASURES,
+    PRODUCTION_TEXT,
+    STG_POZOS,
+    STG_PRODUCCION,
+    WELL_NUMBERS,
+    WELL_TEXT,
+)
+
+
+def _list(items, sep=", ") -> str:
+    return sep.join(items)
+
+
+def _clean(raw, name):
+    return f"nullif(trim({raw}), '') AS {name}"
+
+
+_rank_prod = [c for c in STG_PRODUCCION.names if c not in ("idpozo", "anio", "mes", "fecha_mes", "rectificado")]
+_described = [c for c in STG_POZOS.names if c not in ("idpozo", "id_empresa")]
+_ties = ["sigla", "area_yacimiento", "cuenca"]
+_ties += [c for c in STG_POZOS.names if c not in ("idpozo", *_ties)]
+_month = "CASE WHEN anio BETWEEN 1900 AND 2100 AND mes BETWEEN 1 AND 12 THEN make_date(anio, mes, 1) END"
+_yyyymm = "CAST(year({0}) * 100 + month({0}) AS INTEGER)"
+_place = "md5(coalesce(area_yacimiento, '') || '|' || coalesce(cuenca, '') || '|' || coalesce(provincia, ''))"
+
+
+def _frame(months):
+    return f"OVER (PARTITION BY idpozo ORDER BY fecha_mes ROWS BETWEEN {months} PRECEDING AND 1 PRECEDING)"
+
+
+_w = "OVER (PARTITION BY idpozo ORDER BY fecha_mes)"
+_history = {name: f"lag({m}, {k}) {_w}" for name, (m, k) in features.LAGS.items()}
+_history |= {name: f"round(avg({m}) {_frame(k)}, 6)" for name, (m, k) in features.MEANS.items()}
+_history |= {name: f"round(stddev_samp({m}) {_frame(k)}, 6)" for name, (m, k) in features.STDS.items()}
+_history |= {label: f"lead({m}, 1) {_w}" for m, label in features.NEXT.items()}
+_history["meses_en_produccion"] = f"row_number() {_w}"
+
+
+def _hist(names) -> str:
+    return _list(f"{_history[n]} AS {n}" for n in names)
+
+
+def _feature_table(source: str, where: str = "TRUE") -> str:
+    own = [c for c in FEAT_OFFLINE.names if c not in (*features.STATIC, "mes", "trimestre", "feature_set_version")]
+    ratios = {
+        "prod_pet_delta1": "prod_pet_lag0 - prod_pet_lag1",
+        "prod_pet_pct1": "round((prod_pet_lag0 - prod_pet_lag1) / nullif(prod_pet_lag1, 0), 6)",
+        "ratio_gas_pet": "round(prod_gas_m / nullif(prod_pet_lag0, 0), 6)",
+    }
+    picked = [f"{ratios[c]} AS {c}" if c in ratios else f"f.{c}" for c in own]
+    picked += ["CAST(month(f.fecha_mes) AS INTEGER) AS mes", "CAST(quarter(f.fecha_mes) AS INTEGER) AS trimestre"]
+    picked += ["'v1' AS feature_set_version"]
+    picked += [f"d.{c}" for c in features.STATIC]
+    return f"SELECT {_list(picked)} FROM {source} f JOIN dp d ON d.pozo_sk = f.pozo_sk WHERE {where}"
+
+
+def _panel(fact: str) -> str:
+    return f"""
+    SELECT md5(CAST(r.idpozo AS VARCHAR)) AS pozo_sk, r.idpozo, t.tiempo_sk, t.fecha_mes,
+           {_list('p.' + m for m in features.INPUTS)}
+    FROM (SELECT idpozo, min(fecha_mes) AS lo, max(fecha_mes) AS hi FROM {fact} GROUP BY idpozo) r
+    JOIN dt t ON t.fecha_mes BETWEEN r.lo AND r.hi
+    LEFT JOIN {fact} p ON p.idpozo = r.idpozo AND p.tiempo_sk = t.tiempo_sk"""
+
+
+def _base(panel: str) -> str:
+    return f"""
+    SELECT pozo_sk, idpozo, tiempo_sk, fecha_mes,
+           {_list(f'{m} AS {n}' for m, n in features.CURRENT.items())}, {_hist(_history)}
+    FROM {panel}"""
+
+
+CUT = "DATE '1998-06-01'"
+
+# name -> (names it reads, statement)
+_CTES = {
+    "bp": ((), """
+    SELECT l_partkey AS idpozo,
+           CASE WHEN s_acctbal < 0 THEN '  ' ELSE ' EMP' || l_suppkey || ' ' END AS idempresa,
+           year(l_shipdate) AS anio, month(l_shipdate) AS mes,
+           CASE WHEN NOT (l_returnflag = 'A' AND l_linestatus = 'O') THEN l_quantity END AS prod_pet,
+           CAST(floor(l_extendedprice) AS DOUBLE) AS prod_gas,
+           CAST(round(l_discount * 100) AS DOUBLE) AS prod_agua,
+           CAST(l_linenumber AS DOUBLE) AS iny_agua, CAST(0 AS DOUBLE) AS iny_gas,
+           CAST(NULL AS DOUBLE) AS iny_co2, CAST(0 AS DOUBLE) AS iny_otro,
+           CAST(day(l_shipdate) AS DOUBLE) AS tef,
+           s_name AS empresa, p_name AS sigla, p_brand AS areayacimiento, p_type AS cuenca, n_name AS provincia,
+           'Petrolífero' AS tipopozo, l_linestatus AS tipoestado, ' ' AS tipoextraccion,
+           'NO CONVENCIONAL' AS tipo_de_recurso, 'EXPLOTACION' AS clasificacion, 'SHALE' AS sub_tipo_recurso,
+           CASE l_returnflag WHEN 'R' THEN 't' WHEN 'A' THEN 'f' END AS rectificado,
+           CASE WHEN l_linestatus = 'O' THEN ' T ' ELSE 'f' END AS habilitado
+    FROM lineitem
+    LEFT JOIN supplier ON s_suppkey = l_suppkey
+    LEFT JOIN nation ON n_nationkey = s_nationkey
+    LEFT JOIN part ON p_partkey = l_partkey"""),
+    "bw": ((), """
+    SELECT CASE WHEN p_size = 1 THEN -p_partkey - 1 ELSE p_partkey END AS idpozo, ' EMP0 ' AS idempresa,
+           CASE WHEN NOT (second AND p_size <= 20) THEN p_name END AS sigla, p_brand AS formprod,
+           CASE WHEN second THEN 'Z' || p_brand ELSE p_brand END AS areayacimiento, p_type AS cuenca,
+           CASE WHEN p_size <= 25 THEN 'Neuquén' ELSE ' Chubut ' END AS provincia,
+           CASE WHEN p_size > 40 THEN '  ' ELSE 'CONVENCIONAL' END AS tipo_reservorio,
+           p_retailprice AS coordenadax, CAST(-p_size AS DOUBLE) AS coordenaday,
+           CAST(CASE WHEN p_size <= 45 THEN p_size END AS DOUBLE) AS cota, p_retailprice AS profundidad
+    FROM part CROSS JOIN (VALUES (FALSE), (TRUE)) v(second)"""),
+    "cp": (("bp",), f"""
+    SELECT idpozo, anio, mes, {_month} AS fecha_mes, {_list(MEASURES)},
+           {_list(_clean(r, n) for r, n in PRODUCTION_TEXT.items())},
+           lower(trim(rectificado)) = 't' AS rectificado, lower(trim(habilitado)) = 't' AS habilitado
+    FROM bp"""),
+    "sp": (("cp",), f"""
+    SELECT {_list(STG_PRODUCCION.names)} FROM cp
+    QUALIFY row_number() OVER (PARTITION BY idpozo, anio, mes ORDER BY rectificado DESC NULLS LAST,
+        {_list(c + ' ASC NULLS LAST' for c in _rank_prod)}) = 1"""),
+    "cw": (("bw",), f"""
+    SELECT idpozo, {_list(_clean(r, n) for r, n in WELL_TEXT.items())}, {_list(WELL_NUMBERS)} FROM bw"""),
+    "sw": (("cw",), f"""
+    SELECT {_list(STG_POZOS.names)} FROM cw
+    QUALIFY row_number() OVER (PARTITION BY idpozo ORDER BY
+        {_list((f'({c} IS NULL)::INT' for c in _described), ' + ')} ASC,
+        {_list(c + ' ASC NULLS LAST' for c in _ties)}) = 1"""),
+    "dp": (("sp", "sw"), f"""
+    SELECT md5(CAST(i.idpozo AS VARCHAR)) AS pozo_sk, i.idpozo, {_list(DIM_POZO.names[2:])}
+    FROM (SELECT idpozo FROM sp UNION SELECT idpozo FROM sw) i LEFT JOIN sw ON sw.idpozo = i.idpozo"""),
+    "de": (("sp",), """
+    SELECT md5(coalesce(id_empresa, '__NA__')) AS empresa_sk, coalesce(id_empresa, '__NA__') AS id_empresa,
+           max(empresa) AS empresa
+    FROM sp GROUP BY 1, 2"""),
+    "da": (("sp",), f"""
+    SELECT DISTINCT {_place} AS area_sk, coalesce(area_yacimiento, '') AS area_yacimiento,
+           coalesce(cuenca, '') AS cuenca, coalesce(provincia, '') AS provincia FROM sp"""),
+    "dt": (("sp",), f"""
+    SELECT {_yyyymm.format('m')} AS tiempo_sk, m AS fecha_mes, CAST(year(m) AS INTEGER) AS anio,
+           CAST(month(m) AS INTEGER) AS mes, CAST(quarter(m) AS INTEGER) AS trimestre
+    FROM (SELECT CAST(unnest(generate_series(min(fecha_mes), max(fecha_mes), INTERVAL 1 MONTH)) AS DATE) AS m
+          FROM sp)"""),
+    "fp": (("sp",), f"""
+    SELECT md5(CAST(idpozo AS VARCHAR)) AS pozo_sk, md5(coalesce(id_empresa, '__NA__')) AS empresa_sk,
+           {_place} AS area_sk, {_yyyymm.format('fecha_mes')} AS tiempo_sk, {_list(FCT_PRODUCCION.names[4:])}
+    FROM sp"""),
+    "pd": (("fp", "dt"), _panel("fp")),
+    "fb": (("pd",), _base("pd")),
+    "fo": (("fb", "dp"), _feature_table("fb")),
+    "fn": (("fo",), f"""
+    SELECT {_list(FEAT_ONLINE.names)} FROM fo
+    QUALIFY row_number() OVER (PARTITION BY idpozo ORDER BY fecha_mes DESC) = 1"""),
+    "fcut": (("fp",), f"SELECT * FROM fp WHERE fecha_mes <= {CUT}"),
+    "pcut": (("fcut", "dt"), _panel("fcut")),
+    "bcut": (("pcut",), _base("pcut")),
+}
+
+
+def _needed(names, seen=None) -> list[str]:
+    """The named statements and all they read, in an order DuckDB accepts."""
+    seen = [] if seen is None else seen
+    for name in names:
+        _needed(_CTES[name][0], seen)
+        if name not in seen:
+            seen.append(name)
+    return seen
+
+
+def _sql(body: str, *names: str) -> str:
+    ctes = _list((f"{n} AS ({_CTES[n][1]})" for n in _needed(names)), ",\n")
+    return f"WITH {ctes}\n{body}" if ctes else body
+
+
+_wells = (
+    "CAST(idpozo AS VARCHAR) AS idpozo, sigla, formacion_productiva, area_yacimiento, cuenca, provincia, "
+    "tipo_reservorio, profundidad"
+)
+
+
+def _layers() -> dict[str, str]:
+    texts = "id_empresa, empresa, tipo_extraccion, area_yacimiento, cuenca, provincia"
+    keyed = f"md5(CAST(idpozo AS VARCHAR)) AS pozo_sk, md5(coalesce(id_empresa, '__NA__')) AS empresa_sk, {_place} AS area_sk"
+    return {
+        "silver_trim_nullif": _sql(f"SELECT {texts}, count(*) AS filas FROM cp GROUP BY ALL", "cp"),
+        "silver_flags": _sql("SELECT rectificado, habilitado, count(*) AS filas FROM cp GROUP BY ALL", "cp"),
+        "silver_fecha_mes": f"""
+            SELECT anio, mes, {_month} AS fecha_mes, count(*) AS filas
+            FROM (SELECT year(l_shipdate) AS anio, CAST(l_quantity AS BIGINT) AS mes FROM lineitem)
+            GROUP BY anio, mes""",
+        "silver_produccion_dedup": _sql(
+            "SELECT idpozo, anio, mes, rectificado, id_empresa, prod_pet, prod_gas, tef FROM sp", "sp"
+        ),
+        "silver_pozos_dedup": _sql("SELECT idpozo, sigla, area_yacimiento, tipo_reservorio, cota FROM sw", "sw"),
+        "stg_produccion": _sql("SELECT * FROM sp", "sp"),
+        "stg_pozos": _sql("SELECT * FROM sw", "sw"),
+        "hash_keys": _sql(f"SELECT {keyed}, count(*) AS filas FROM cp GROUP BY ALL", "cp"),
+        "dim_pozo_spine": _sql("SELECT idpozo FROM sp UNION SELECT idpozo FROM sw", "sp", "sw"),
+        "dim_pozo": _sql("SELECT * FROM dp", "dp"),
+        "dim_empresa": _sql("SELECT * FROM de", "de"),
+        "dim_area": _sql("SELECT * FROM da", "da"),
+        "dim_tiempo": _sql("SELECT * FROM dt", "dt"),
+        "fct_produccion": _sql("SELECT * FROM fp", "fp"),
+        "panel_bounds": _sql(
+            "SELECT idpozo, min(fecha_mes) AS desde, max(fecha_mes) AS hasta FROM fp GROUP BY idpozo", "fp"
+        ),
+        "panel_dense": _sql("SELECT * FROM pd", "pd"),
+        "feat_lags": _sql(f"SELECT idpozo, fecha_mes, {_hist(features.LAGS)} FROM pd", "pd"),
+        "feat_moving_avg": _sql(f"SELECT idpozo, fecha_mes, {_hist(features.MEANS)} FROM pd", "pd"),
+        "feat_moving_std": _sql(f"SELECT idpozo, fecha_mes, {_hist(features.STDS)} FROM pd", "pd"),
+        "feat_age": _sql(f"SELECT idpozo, fecha_mes, {_hist(['meses_en_produccion'])} FROM pd", "pd"),
+        "feat_targets": _sql(f"SELECT idpozo, fecha_mes, {_hist(features.NEXT.values())} FROM pd", "pd"),
+        "feat_ratios": _sql(
+            """SELECT idpozo, fecha_mes, prod_pet_lag0 - prod_pet_lag1 AS prod_pet_delta1,
+               round((prod_pet_lag0 - prod_pet_lag1) / nullif(prod_pet_lag1, 0), 6) AS prod_pet_pct1,
+               round(prod_gas_m / nullif(prod_pet_lag0, 0), 6) AS ratio_gas_pet FROM fb""",
+            "fb",
+        ),
+        "feat_base": _sql("SELECT * FROM fb", "fb"),
+        "feat_offline": _sql("SELECT * FROM fo", "fo"),
+        "feat_offline_asof": _sql(_feature_table("bcut"), "bcut", "dp"),
+        "feat_offline_literal": _sql(_feature_table("fb", f"f.fecha_mes <= {CUT}"), "fb", "dp"),
+        "feat_online": _sql("SELECT * FROM fn", "fn"),
+    }
+
+
+def _reads() -> dict[str, str]:
+    return {
+        "api_produccion": _sql(
+            """SELECT CAST(f.idpozo AS VARCHAR) AS idpozo, f.anio, f.mes,
+                      strftime(f.fecha_mes, '%Y-%m-%d') AS fecha_mes, de.empresa, da.cuenca, da.provincia,
+                      da.area_yacimiento, f.prod_pet, f.prod_gas, f.prod_agua
+               FROM fp f LEFT JOIN de ON de.empresa_sk = f.empresa_sk LEFT JOIN da ON da.area_sk = f.area_sk
+               WHERE f.anio = 1998 ORDER BY f.fecha_mes DESC NULLS FIRST, f.idpozo LIMIT 500 OFFSET 100""",
+            "fp", "de", "da",
+        ),
+        "api_pozos": _sql(
+            f"""SELECT * FROM (SELECT {_wells} FROM dp WHERE provincia = 'Neuquén')
+                ORDER BY idpozo LIMIT 200 OFFSET 20""",
+            "dp",
+        ),
+        "api_pozo_by_id": _sql(f"SELECT {_wells} FROM dp WHERE CAST(idpozo AS VARCHAR) = '42' LIMIT 1", "dp"),
+        "bi_produccion_por_mes": _sql(
+            """SELECT dt.fecha_mes, sum(prod_pet) AS total_petroleo, sum(prod_gas) AS total_gas,
+                      sum(prod_agua) AS total_agua
+               FROM fp JOIN dt ON dt.tiempo_sk = fp.tiempo_sk GROUP BY dt.fecha_mes ORDER BY dt.fecha_mes""",
+            "fp", "dt",
+        ),
+        "bi_top_empresas": _sql(
+            """SELECT de.id_empresa, sum(prod_pet) AS total_petroleo, sum(prod_gas) AS total_gas
+               FROM fp JOIN de ON de.empresa_sk = fp.empresa_sk GROUP BY de.id_empresa
+               ORDER BY total_petroleo DESC NULLS FIRST, de.id_empresa LIMIT 10""",
+            "fp", "de",
+        ),
+        "bi_produccion_por_cuenca": _sql(
+            """SELECT da.cuenca, sum(prod_pet) AS total_petroleo, sum(prod_gas) AS total_gas
+               FROM fp JOIN da ON da.area_sk = fp.area_sk GROUP BY da.cuenca
+               ORDER BY total_petroleo DESC NULLS FIRST, da.cuenca""",
+            "fp", "da",
+        ),
+        "control_totals_period": _sql(
+            """SELECT anio, mes, count(*) AS filas, sum(prod_pet) AS total_petroleo, sum(prod_gas) AS total_gas
+               FROM fp GROUP BY anio, mes""",
+            "fp",
+        ),
+    }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**_layers(), **_reads()}
