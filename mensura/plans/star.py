@@ -17,8 +17,11 @@ def _company() -> Column:
 
 
 def pozo_spine(produccion: DataFrame, pozos: DataFrame) -> DataFrame:
-    """Every well id seen in production or in the master."""
-    return produccion.select("idpozo").union(pozos.select("idpozo")).distinct()
+    """Every well id seen in production or in the master.
+
+    The large side is reduced before the union, by a hash in each map task.
+    """
+    return produccion.select("idpozo").distinct().union(pozos.select("idpozo")).distinct()
 
 
 def dim_pozo(produccion: DataFrame, pozos: DataFrame) -> DataFrame:

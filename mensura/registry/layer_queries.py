@@ -1,86 +1,16 @@
-"""Every query by name: (session, folder of the shared tables) -> DataFrame."""
+"""Silver, star, feature store and read queries."""
 
-from collections.abc import Callable
+import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mensura.functions import coerced_period, composite_key, guarded_month, single_key
+from mensura.functions import composite_key, guarded_month, single_key
 from mensura.operators import panel as panels
-from mensura.plans import features, reads, silver, star
-from mensura.schemas import FEATURE_IDS, GEOGRAPHY, MEASURES
+from mensura.plans import features, reads, star
+from mensura.registry.base import Layers, query, rounded
+from mensura.schemas import GEOGRAPHY
 from mensura.sources import driver_tables as src
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-class Layers:
-    """The layers over one folder of tables, each built on first use."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def bronze_produccion(self) -> DataFrame:
-        return src.bronze_produccion(self.spark, self.sf_dir)
-
-    def bronze_pozos(self) -> DataFrame:
-        return src.bronze_pozos(self.spark, self.sf_dir)
-
-    def stg_produccion(self) -> DataFrame:
-        return silver.stg_produccion(self.bronze_produccion())
-
-    def stg_pozos(self) -> DataFrame:
-        return silver.stg_pozos(self.bronze_pozos())
-
-    def reported(self) -> DataFrame:
-        """Clean records before the deduplication: same wells and months, no shuffle."""
-        return silver.clean_produccion(self.bronze_produccion())
-
-    def fct(self) -> DataFrame:
-        return star.fct_produccion(self.stg_produccion())
-
-    def dim_pozo(self) -> DataFrame:
-        return star.dim_pozo(self.reported(), self.stg_pozos())
-
-    def dim_empresa(self) -> DataFrame:
-        return star.dim_empresa(self.stg_produccion())
-
-    def dim_area(self) -> DataFrame:
-        return star.dim_area(self.stg_produccion())
-
-    def dim_tiempo(self) -> DataFrame:
-        return star.dim_tiempo(self.reported())
-
-    def panel(self) -> DataFrame:
-        return features.panel(self.fct())
-
-    def base(self) -> DataFrame:
-        return features.base(self.panel())
-
-    def offline(self) -> DataFrame:
-        return features.offline(self.fct(), self.dim_pozo())
-
-    def online(self) -> DataFrame:
-        return features.online(self.offline())
-
-
-_queries: dict[str, Query] = {}
-
-
-def query(fn: Query) -> Query:
-    _queries[fn.__name__] = fn
-    return fn
-
-
-def queries() -> dict[str, Query]:
-    return dict(_queries)
-
-
-def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    """Figures whose last bits depend on the engine's summation, at six decimals."""
-    return df.withColumns({n: F.round(n, 6) for n in names})
-
-
 # --- silver -----------------------------------------------------------------
 
 
@@ -199,12 +129,12 @@ def feat_lags(spark, sf_dir):
 
 @query
 def feat_moving_avg(spark, sf_dir):
-    return _rounded(_history(spark, sf_dir, features.MEANS), *features.MEANS)
+    return rounded(_history(spark, sf_dir, features.MEANS), *features.MEANS)
 
 
 @query
 def feat_moving_std(spark, sf_dir):
-    return _rounded(_history(spark, sf_dir, features.STDS), *features.STDS)
+    return rounded(_history(spark, sf_dir, features.STDS), *features.STDS)
 
 
 @query
@@ -221,7 +151,7 @@ def feat_targets(spark, sf_dir):
 def feat_ratios(spark, sf_dir):
     ratios = ["prod_pet_delta1", "prod_pet_pct1", "ratio_gas_pet"]
     feats = features.with_ratios(Layers(spark, sf_dir).base())
-    return _rounded(feats.select("idpozo", "fecha_mes", *ratios), *ratios)
+    return rounded(feats.select("idpozo", "fecha_mes", *ratios), *ratios)
 
 
 _SOFT = [*features.MEANS, *features.STDS]
@@ -230,20 +160,18 @@ _SOFT_OFFLINE = [*_SOFT, "prod_pet_pct1", "ratio_gas_pet"]
 
 @query
 def feat_base(spark, sf_dir):
-    return _rounded(Layers(spark, sf_dir).base(), *_SOFT)
+    return rounded(Layers(spark, sf_dir).base(), *_SOFT)
 
 
 @query
 def feat_offline(spark, sf_dir):
-    return _rounded(Layers(spark, sf_dir).offline(), *_SOFT_OFFLINE)
+    return rounded(Layers(spark, sf_dir).offline(), *_SOFT_OFFLINE)
 
 
 def _at_cutoff(spark, sf_dir, mode):
-    import datetime as dt
-
     lay = Layers(spark, sf_dir)
     feats = features.offline(lay.fct(), lay.dim_pozo(), cutoff=dt.date(1998, 6, 1), mode=mode)
-    return _rounded(feats, *_SOFT_OFFLINE)
+    return rounded(feats, *_SOFT_OFFLINE)
 
 
 @query
@@ -258,7 +186,7 @@ def feat_offline_literal(spark, sf_dir):
 
 @query
 def feat_online(spark, sf_dir):
-    return _rounded(Layers(spark, sf_dir).online(), *_SOFT_OFFLINE)
+    return rounded(Layers(spark, sf_dir).online(), *_SOFT_OFFLINE)
 
 
 # --- read queries -----------------------------------------------------------

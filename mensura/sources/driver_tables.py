@@ -21,13 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bronze_produccion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as raw monthly production (the grain repeats, texts are untrimmed)."""
     items = table(spark, sf_dir, "lineitem")
-    operators = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        .select("s_suppkey", "s_name", "s_acctbal", "n_name")
-    )
+    operators = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
+    provinces = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     wells = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     raw = lookup(items, operators, "l_suppkey", "s_suppkey", spread="l_orderkey")
+    raw = lookup(raw, provinces, "s_nationkey", "n_nationkey", spread="l_orderkey")
     raw = lookup(raw, wells, "l_partkey", "p_partkey", spread="l_orderkey")
 
     company = F.when(F.col("s_acctbal") < 0, F.lit("  ")).otherwise(
