@@ -5,9 +5,11 @@ are one statement each; equal results therefore say something.
 """
 
 from mensura.oracle.checks import checks
+from mensura.oracle.forecasts import forecasts
 from mensura.oracle.layers import layers, reads
 from mensura.oracle.loads import loads
+from mensura.oracle.metrics import metrics
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**layers(), **reads(), **loads(), **checks()}
+    return {**layers(), **reads(), **loads(), **checks(), **forecasts(), **metrics()}

@@ -32,7 +32,7 @@ MEAN_TOLERANCE = 0.001
 class Check:
     """One check.  Exactly one of ``row`` and ``frame`` is set.
 
-    ``row``    true (never NULL) for a failing row
+    ``row``    gives a condition, true (never NULL) for a failing row
     ``frame``  the failing rows; an optional ``filas`` column says how many
                rows of the table one failing row stands for
     ``weigh``  count ``filas`` rather than failing rows
@@ -42,7 +42,7 @@ class Check:
     name: str
     table: str
     severity: str = ERROR
-    row: Column | None = None
+    row: Callable[[], Column] | None = None
     frame: Callable[[Tables], DataFrame] | None = None
     weigh: bool = False
     reads: tuple[str, ...] = ()
@@ -76,7 +76,7 @@ def contract_problems(found: T.StructType, declared: T.StructType) -> list[dict]
 
 
 def not_null(table: str, column: str, severity: str = ERROR) -> Check:
-    return Check(f"not_null_{table}_{column}", table, severity, row=F.col(column).isNull())
+    return Check(f"not_null_{table}_{column}", table, severity, row=lambda: F.col(column).isNull())
 
 
 def unique(table: str, column: str, severity: str = ERROR) -> Check:
@@ -224,7 +224,7 @@ def silver_checks() -> list[Check]:
         *[not_null(wells, c, WARN) for c in ("area_yacimiento", "cuenca", "provincia")],
         Check("anio_rango_valido", prod, WARN, frame=_of(prod, years_out_of_range)),
         Check("produccion_grano_unico", prod, ERROR, frame=_of(prod, grain_unique)),
-        Check("medidas_no_negativas", prod, WARN, row=any_negative(*MEASURES)),
+        Check("medidas_no_negativas", prod, WARN, row=lambda: any_negative(*MEASURES)),
         Check("completitud_medidas", prod, WARN, frame=_of(prod, incomplete)),
     ]
 
@@ -244,7 +244,7 @@ def star_checks() -> list[Check]:
         checks += [not_null(fct, key), relationships(fct, key, dim, key)]
     checks += [
         Check("fct_grano_unico", fct, ERROR, frame=_of(fct, grain_unique)),
-        Check("fct_medidas_no_negativas", fct, WARN, row=any_negative(*MEASURES)),
+        Check("fct_medidas_no_negativas", fct, WARN, row=lambda: any_negative(*MEASURES)),
     ]
     return checks
 
@@ -261,7 +261,7 @@ def feature_checks(cutoff=None) -> list[Check]:
         unique(on, "idpozo"),
         not_null(on, "fecha_mes"),
         Check("feat_no_leakage_lag", off, ERROR, frame=_of(off, lag_leaks)),
-        Check("feat_ma_excludes_current", off, ERROR, row=_mean_is_off()),
+        Check("feat_ma_excludes_current", off, ERROR, row=_mean_is_off),
         Check("feat_target_pointintime", off, ERROR, frame=_of(off, label_leaks)),
         Check(
             "feat_online_matches_offline", on, ERROR, frame=lambda t: online_differs(t[on], t[off]), reads=(off,)
@@ -283,9 +283,9 @@ def _json_rows(df: DataFrame) -> Column:
 
 def _row_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All failing rows of one table under its row checks, from one scan."""
-    any_fails = reduce(or_, [c.row for c in checks])
+    any_fails = reduce(or_, [c.row() for c in checks])
     hits = F.array_compact(
-        F.array(*[F.when(c.row, F.struct(F.lit(c.name).alias("n"), F.lit(c.severity).alias("s"))) for c in checks])
+        F.array(*[F.when(c.row(), F.struct(F.lit(c.name).alias("n"), F.lit(c.severity).alias("s"))) for c in checks])
     )
     failing = df.filter(any_fails).select(_json_rows(df).alias("row"), F.explode(hits).alias("hit"))
     return failing.select(

@@ -72,7 +72,7 @@ def dq_non_negative(spark, sf_dir):
     low = Layers(spark, sf_dir).stg_produccion()
     low = low.withColumns({"prod_pet": F.col("prod_pet") - 25, "tef": F.col("tef") - 15})
     check = next(c for c in quality.silver_checks() if c.name == "medidas_no_negativas")
-    return low.filter(check.row).select("idpozo", "anio", "mes", *MEASURES)
+    return low.filter(check.row()).select("idpozo", "anio", "mes", *MEASURES)
 
 
 @query
