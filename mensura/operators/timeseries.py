@@ -250,7 +250,7 @@ def episodes(states: DataFrame, group: Sequence[str], repeat: int, step: int, ts
     )
     found = numbered.filter(F.col("_f") == 1).groupBy(*group, "_island")
     spans = found.agg(
-        F.min(ts).alias("started_at"), F.max(ts).alias("ended_at"), F.max("_next").alias("resolved_at")
+        F.min(ts).alias("started_at"), F.max(ts).alias("ended_at"), F.max_by("_next", ts).alias("resolved_at")
     ).drop("_island")
     lasted = seconds_between(F.col("started_at"), F.col("ended_at"))
     return spans.withColumn("notices", (F.floor(lasted / repeat) + 1).cast("long"))

@@ -117,7 +117,8 @@ def metrics() -> dict[str, str]:
             "SELECT alert, severity, ts, round(figure, 6) AS figure, state, active_since FROM s", _ratios, _states()
         ),
         "ts_alert_episodes": _with(
-            """SELECT alert, severity, min(ts) AS started_at, max(ts) AS ended_at, max(next) AS resolved_at,
+            """SELECT alert, severity, min(ts) AS started_at, max(ts) AS ended_at,
+                   CASE WHEN count(next) = count(*) THEN max(next) END AS resolved_at,
                    1 + CAST(floor((epoch(max(ts)) - epoch(min(ts))) / 3600) AS BIGINT) AS notices
                FROM (SELECT *, lead(ts) OVER (PARTITION BY alert ORDER BY ts) AS next FROM s)
                WHERE state = 'firing' GROUP BY alert, severity, active_since""",

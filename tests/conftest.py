@@ -11,12 +11,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from mensura.session import local_session
 
     session = local_session(app="tests", memory="6g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
