@@ -88,7 +88,7 @@ def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def _replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Overwrite the partitions the rows belong to, and no other.
 
     ``rebalance`` lets adaptive execution cut a hot partition into several
@@ -111,7 +111,7 @@ def merge_by_period(df: DataFrame, path: str, keys: Sequence[str] = PERIOD) -> N
     batch = df.dropna(subset=list(keys))
     if batch.isEmpty():
         raise EmptyBatch("no rows left after the period filter")
-    _replace_partitions(batch, path, keys)
+    replace_partitions(batch, path, keys)
 
 
 def replace_full(df: DataFrame, root: str, run_id: str) -> None:
@@ -123,4 +123,4 @@ def replace_full(df: DataFrame, root: str, run_id: str) -> None:
 
 def replace_by_key(df: DataFrame, path: str, key: str) -> None:
     """Replace the rows of the keys present in the batch, as one partition each."""
-    _replace_partitions(df, path, [key])
+    replace_partitions(df, path, [key])

@@ -134,9 +134,8 @@ def in_progress(requests: DataFrame, by: Sequence[str], pane: int = 3600) -> Dat
     ends = F.array(
         F.struct(F.col("ts").alias("t"), F.lit(1).alias("d")), F.struct((F.col("ts") + took).alias("t"), F.lit(-1).alias("d"))
     )
-    changes = requests.select(*by, F.explode(ends).alias("e")).select(
-        *by, F.date_trunc("second", F.col("e.t")).cast(requests.schema["ts"].dataType).alias("ts"), F.col("e.d").alias("d")
-    )
+    changes = requests.select(*by, F.explode(ends).alias("e"))
+    changes = changes.select(*by, F.col("e.t").alias("_t"), F.col("e.d").alias("d")).withColumn("ts", ts.pane_of("_t", 1))
     return ts.running_total(changes, by, "ts", "d", pane, "in_progress")
 
 

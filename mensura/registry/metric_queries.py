@@ -23,8 +23,7 @@ SPAN = ["window_start", "window_end"]
 
 def _counters(log, by, amount):
     """Hourly samples of counters that restart every day."""
-    hours = log.withColumn("ts", F.date_trunc("hour", "ts").cast(log.schema["ts"].dataType))
-    hours = hours.groupBy(*by, "ts").agg(F.sum(amount).alias("n"))
+    hours = log.withColumn("ts", ts.pane_of("ts", HOUR)).groupBy(*by, "ts").agg(F.sum(amount).alias("n"))
     today = Window.partitionBy(*by, F.to_date("ts")).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     return hours.select(*by, "ts", F.sum("n").over(today).cast("double").alias("value"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from mensura.functions import coerced_period
-from mensura.operators.load import PERIOD, merge_by_period
+from mensura.operators.load import PERIOD, replace_partitions
 from mensura.sources.csv import NA_VALUES, typed_columns
 
 DELIVERY = "_delivery"
@@ -59,7 +59,7 @@ def merge_landing(
     def merge(batch: DataFrame, _batch_id: int) -> None:
         sound = batch.filter(coerced_period().isNotNull())
         if not sound.isEmpty():
-            merge_by_period(newest_delivery(sound).drop(DELIVERY), target)
+            replace_partitions(newest_delivery(sound).drop(DELIVERY), target, PERIOD)
 
     return (
         read_landing(spark, folder, schema)

@@ -59,12 +59,14 @@ def main():
     parser = argparse.ArgumentParser()
     parser.add_argument("names", nargs="*")
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--zone", default="UTC", help="time zone of the Spark session")
     args = parser.parse_args()
 
     import __spark_entry__ as entry
     from mensura.session import local_session
 
     spark, con = local_session(), duck(args.sf)
+    spark.conf.set("spark.sql.session.timeZone", args.zone)
     queries, sqls = entry.queries(), entry.oracle_sql()
     unknown = set(sqls) - set(queries)
     failed = len(unknown)
