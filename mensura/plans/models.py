@@ -1,7 +1,8 @@
 """The tables of a run: how each is built, from which parents, and what it means."""
 
+import datetime as dt
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,6 +83,15 @@ _MODELS = (
 )
 MODELS = {m.name: m for m in _MODELS}
 
+
+def models_at(cutoff: dt.date | None) -> dict[str, Model]:
+    """The tables with the feature store as of a past month; the star stays whole."""
+    if cutoff is None:
+        return dict(MODELS)
+    name = "feat_produccion_offline"
+    past = replace(MODELS[name], build=lambda t: features.offline(t["fct_produccion"], t["dim_pozo"], cutoff))
+    return {**MODELS, name: past}
+
 _COLUMN_NOTES = {
     "idpozo": "Natural id of the well",
     "pozo_sk": "Key of the well, md5 of its id",

@@ -39,6 +39,7 @@ def write_audit_publish(
     checks: Sequence[quality.Check],
     root: str,
     run_id: str,
+    plan: Mapping[str, Model] = MODELS,
 ) -> Outcome:
     """Build all tables as a new version and publish it if no error check fails.
 
@@ -51,9 +52,9 @@ def write_audit_publish(
     tables = dict(sources)
     reports = []
     for layer in ("silver", "gold"):
-        names = [m.name for m in MODELS.values() if m.layer == layer]
+        names = [m.name for m in plan.values() if m.layer == layer]
         for name in names:
-            tables[name] = _write(spark, MODELS[name], tables, folder)
+            tables[name] = _write(spark, plan[name], tables, folder)
         audit = [c for c in checks if c.table in names]
         if not audit:
             continue
