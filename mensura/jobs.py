@@ -60,11 +60,15 @@ def ingest(
     date_from: dt.date | None = load.DEFAULT_WINDOW[0],
     date_to: dt.date | None = load.DEFAULT_WINDOW[1],
 ) -> None:
-    """Load landed files: production by period inside the window, wells as a whole snapshot."""
+    """Load landed files: production by period inside the window, wells as a whole snapshot.
+
+    A repeated attempt loads the production again and leaves a snapshot that is
+    already published.
+    """
     if produccion:
         rows = _loaded(spark, produccion, BRONZE_PRODUCCION, run_id, "merge")
         load.merge_by_period(load.period_filter(rows, date_from, date_to), warehouse.produccion)
-    if pozos:
+    if pozos and not versions.is_published(spark, warehouse.pozos, run_id):
         load.replace_full(_loaded(spark, pozos, BRONZE_POZOS, run_id, "full"), warehouse.pozos, run_id)
 
 

@@ -116,8 +116,9 @@ def merge_by_period(df: DataFrame, path: str, keys: Sequence[str] = PERIOD) -> N
 
 def replace_full(df: DataFrame, root: str, run_id: str) -> None:
     """Replace a whole snapshot: write a new version, then point readers to it."""
+    versions.refuse_published(df.sparkSession, root, run_id)
     before = versions.current(df.sparkSession, root)
-    df.write.mode("errorifexists").parquet(versions.folder(root, run_id))
+    df.write.mode("overwrite").parquet(versions.folder(root, run_id))
     versions.publish(df.sparkSession, root, run_id, before)
 
 

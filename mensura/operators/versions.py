@@ -47,6 +47,19 @@ def current(spark: SparkSession, root: str) -> str | None:
     return last["run_id"] if last else None
 
 
+class AlreadyPublished(RuntimeError):
+    """The run id was published before; its version must not change."""
+
+
+def is_published(spark: SparkSession, root: str, run_id: str) -> bool:
+    return not log(spark, root).filter(F.col("run_id") == run_id).isEmpty()
+
+
+def refuse_published(spark: SparkSession, root: str, run_id: str) -> None:
+    if is_published(spark, root, run_id):
+        raise AlreadyPublished(f"{run_id} is already published under {root}")
+
+
 def publish(spark: SparkSession, root: str, run_id: str, expected: str | None) -> None:
     """Point readers to ``run_id``, unless somebody moved the pointer since ``expected`` was read."""
     last = _last(spark, root)

@@ -25,6 +25,9 @@ class Model:
     domain: str
     tags: tuple[str, ...]
     description: str
+    # Layout on disk: folders per value, or rows clustered for lookups by key.
+    partition_by: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -48,7 +51,7 @@ _MODELS = (
     Model(
         "dim_pozo", "gold", ("stg_produccion", "stg_pozos"),
         lambda t: star.dim_pozo(t["stg_produccion"], t["stg_pozos"]),
-        DATA_TEAM, "pozos", ("gold", "dimension"), "Wells with current attributes",
+        DATA_TEAM, "pozos", ("gold", "dimension"), "Wells with current attributes", cluster_by=("idpozo",),
     ),
     Model(
         "dim_empresa", "gold", ("stg_produccion",),
@@ -68,7 +71,7 @@ _MODELS = (
     Model(
         "fct_produccion", "gold", ("stg_produccion",),
         lambda t: star.fct_produccion(t["stg_produccion"]),
-        DATA_TEAM, "produccion", ("gold", "fact"), "Monthly production with dimension keys",
+        DATA_TEAM, "produccion", ("gold", "fact"), "Monthly production with dimension keys", partition_by=("tiempo_sk",),
     ),
     Model(
         "feat_produccion_offline", "gold", ("fct_produccion", "dim_tiempo", "dim_pozo"),
@@ -79,6 +82,7 @@ _MODELS = (
         "feat_produccion_online", "gold", ("feat_produccion_offline",),
         lambda t: features.online(t["feat_produccion_offline"]),
         ML_TEAM, "features_produccion", ("gold", "feature_store", "online"), "Last feature row per well",
+        cluster_by=("idpozo",),
     ),
 )
 MODELS = {m.name: m for m in _MODELS}

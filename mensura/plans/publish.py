@@ -26,10 +26,19 @@ class Outcome:
 
 def _write(spark: SparkSession, model: Model, tables: Tables, folder: str) -> DataFrame:
     """Build one table, write it, and hand back the written form, so later tables
-    neither recompute it nor depend on the executors that built it."""
+    neither recompute it nor depend on the executors that built it.
+
+    What a failed attempt of the same run left behind is overwritten.
+    """
     path = f"{folder}/{model.name}"
-    built = quality.contract(model.build(tables), model.schema)
-    models.commented(built).write.mode("errorifexists").parquet(path)
+    built = models.commented(quality.contract(model.build(tables), model.schema))
+    if model.partition_by:
+        # A hot month is cut into several files, small ones are put together.
+        built = built.hint("rebalance", *[F.col(c) for c in model.partition_by])
+    if model.cluster_by:
+        # Files and row groups hold key ranges, so a lookup by key skips most of them.
+        built = built.repartitionByRange(*model.cluster_by).sortWithinPartitions(*model.cluster_by)
+    built.write.mode("overwrite").partitionBy(*model.partition_by).parquet(path)
     return read_table(spark, path, model.schema)
 
 
@@ -47,6 +56,7 @@ def write_audit_publish(
     unpublished, readers keep the last good one, and the failing rows can be
     read under ``dq_failures``.
     """
+    versions.refuse_published(spark, root, run_id)
     expected = versions.current(spark, root)
     folder = versions.folder(root, run_id)
     tables = dict(sources)
@@ -59,7 +69,8 @@ def write_audit_publish(
         if not audit:
             continue
         path = f"{root}/dq_report/{run_id}/{layer}"
-        quality.run(tables, audit, run_id, f"{root}/dq_failures").write.parquet(path)
+        result = quality.run(tables, audit, run_id, f"{root}/dq_failures", layer)
+        result.write.mode("overwrite").parquet(path)
         reports.append(spark.read.parquet(path))
         if quality.blocks(reports[-1]):
             return Outcome(run_id, False, reduce(DataFrame.unionByName, reports))

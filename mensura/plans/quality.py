@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from mensura.functions import any_negative
 from mensura.functions.dates import VALID_YEARS
+from mensura.operators.load import replace_partitions
 from mensura.schemas import FCT_PRODUCCION, FEAT_ONLINE, MEASURES, TABLES
 
 Tables = Mapping[str, DataFrame]
@@ -338,18 +339,24 @@ def report(spark: SparkSession, found: DataFrame, checks: Sequence[Check], run_i
     )
 
 
-def run(tables: Tables, checks: Sequence[Check], run_id: str, failures_path: str) -> DataFrame:
-    """Run the checks, append the failing rows to the failure table, return the report.
+def run(
+    tables: Tables, checks: Sequence[Check], run_id: str, failures_path: str, stage: str = "all"
+) -> DataFrame:
+    """Run the checks, add the failing rows to the failure table, return the report.
 
-    The failures are written once and counted from there, partitioned by run,
-    so earlier runs stay readable.
+    The failures are written once and counted from there.  Every run and stage
+    is a partition: earlier runs stay readable, and a repeated attempt replaces
+    its own rows.
     """
     spark = next(iter(tables.values())).sparkSession
-    found = failures(tables, checks).withColumn("run_id", F.lit(run_id))
-    found.write.mode("append").partitionBy("run_id").parquet(failures_path)
-    schema = f"{FAILURES}, run_id string"
-    stored = spark.read.schema(schema).parquet(failures_path).filter(F.col("run_id") == run_id)
-    return report(spark, stored, checks, run_id)
+    keys = {"run_id": F.lit(run_id), "stage": F.lit(stage)}
+    # Without failures no partition would be replaced, so the old one would stay.
+    marker = spark.createDataFrame([(None, None, None, 0, None)], FAILURES)
+    found = failures(tables, checks).unionByName(marker).withColumns(keys)
+    replace_partitions(found, failures_path, tuple(keys))
+    schema = f"{FAILURES}, run_id string, stage string"
+    mine = (F.col("run_id") == run_id) & (F.col("stage") == stage) & F.col("check_name").isNotNull()
+    return report(spark, spark.read.schema(schema).parquet(failures_path).filter(mine), checks, run_id)
 
 
 def blocks(report_table: DataFrame) -> bool:

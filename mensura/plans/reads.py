@@ -19,6 +19,15 @@ class NotFound(LookupError):
     """The asked entity or series does not exist."""
 
 
+def _is_well(idpozo: str) -> Column:
+    """Equality with an id given as text, as a number the scan can use.
+
+    A text that is no plain number (``x``, ``02``) equals no id.
+    """
+    number = F.lit(idpozo).try_cast("long")
+    return (F.col("idpozo") == number) & (number.cast("string") == F.lit(idpozo))
+
+
 def _page(df: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must be 1..{MAX_PAGE}")
@@ -50,13 +59,14 @@ def produccion(
     they cannot change which rows the page holds.
     """
     rows = fct.select(
-        "idpozo", "anio", "mes", "fecha_mes", "empresa_sk", "area_sk", "prod_pet", "prod_gas", "prod_agua"
+        "idpozo", "anio", "mes", "fecha_mes", "tiempo_sk", "empresa_sk", "area_sk", "prod_pet", "prod_gas", "prod_agua"
     )
     if idpozo is not None:
-        # A text that is no number matches nothing, as when comparing as text.
-        number = F.lit(idpozo).try_cast("long")
-        rows = rows.filter((F.col("idpozo") == number) & (number.cast("string") == F.lit(idpozo)))
-    rows = _only(rows, anio=anio)
+        rows = rows.filter(_is_well(idpozo))
+    if anio is not None:
+        # The month key names the folders of the published fact; a row without one has no valid month.
+        months = F.col("tiempo_sk").between(anio * 100 + 1, anio * 100 + 12)
+        rows = rows.filter((F.col("anio") == anio) & (months | F.col("tiempo_sk").isNull()))
     newest = [F.col("fecha_mes").desc_nulls_first(), F.col("idpozo").asc_nulls_last()]
     newest += [F.col("anio").asc_nulls_last(), F.col("mes").asc_nulls_last()]
     page = _page(rows, newest, limit, offset)
@@ -104,7 +114,7 @@ def pozos(
 
 def pozo(dim_pozo: DataFrame, idpozo: str, required: bool = False) -> DataFrame:
     """One well by its id as text."""
-    row = _only(_wells(dim_pozo), idpozo=idpozo).limit(1)
+    row = _wells(dim_pozo.filter(_is_well(idpozo))).limit(1)
     if required and row.isEmpty():
         raise NotFound(f"well {idpozo} does not exist")
     return row

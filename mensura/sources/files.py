@@ -37,5 +37,5 @@ def file_fingerprints(spark: SparkSession, path: str, whole_below: int = WHOLE_F
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet table in its declared types; columns older files lack are NULL."""
-    return spark.read.schema(schema).parquet(path)
+    """Parquet table in its declared types and order; columns older files lack are NULL."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

@@ -64,3 +64,8 @@ def fact(spark, months):
 def as_dicts(df, *keys):
     found = [r.asDict() for r in df.collect()]
     return {tuple(r[k] for k in keys) if len(keys) > 1 else r[keys[0]]: r for r in found}
+
+
+def formatted_plan(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 import rows
 from mensura.operators import versions
-from mensura.plans import features, models, publish, quality
+from mensura.plans import features, models, publish, quality, reads
 from mensura.schemas import FCT_PRODUCCION
 
 
@@ -147,3 +147,27 @@ def test_registered_views(spark, green, tmp_path):
     publish.register_views(spark, root)
     assert spark.sql("select sum(prod_pet) from fct_produccion").first()[0] == 595.5
     assert publish.read(spark, root, "dim_pozo").count() == 3
+
+
+def test_a_repeated_attempt_replaces_its_own_rows(spark, green, tmp_path):
+    root = str(tmp_path / "gold")
+    red = rows.sources(spark, rows.RED)
+    for _ in range(2):
+        assert not publish.write_audit_publish(spark, red, quality.all_checks(), root, "r").published
+    stored = spark.read.parquet(f"{root}/dq_failures").filter("check_name is not null")
+    assert stored.count() == 4
+    # The same run succeeds once its input is repaired, and is then final.
+    assert publish.write_audit_publish(spark, green, quality.all_checks(), root, "r").published
+    assert spark.read.parquet(f"{root}/dq_failures").filter("check_name is not null").count() == 0
+    with pytest.raises(versions.AlreadyPublished):
+        publish.write_audit_publish(spark, green, quality.all_checks(), root, "r")
+
+
+def test_published_layout_prunes(spark, green, tmp_path):
+    root = str(tmp_path / "gold")
+    publish.write_audit_publish(spark, green, quality.silver_checks(), root, "r")
+    tables = publish.published(spark, root)
+    page = reads.produccion(tables["fct_produccion"], tables["dim_empresa"], tables["dim_area"], anio=2024)
+    filters = [line for line in rows.formatted_plan(page).splitlines() if line.startswith("PartitionFilters")]
+    assert any("202401" in line and "202412" in line for line in filters)
+    assert "EqualTo(idpozo,2)" in rows.formatted_plan(reads.pozo(tables["dim_pozo"], "2"))
