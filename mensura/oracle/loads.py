@@ -33,7 +33,7 @@ def loads() -> dict[str, str]:
         "bronze_full_replace": sql("SELECT * REPLACE (cota + 1 AS cota) FROM bw", "bw"),
         "bronze_load_metadata": sql(
             """SELECT anio, mes, 'file:drop' AS _source_url, 'batch-1' AS _batch_id, 'merge' AS _load_type,
-               count(*) AS filas, 1 AS cargas, TRUE AS con_md5, TRUE AS con_archivo FROM bp GROUP BY anio, mes""",
+               count(*) AS filas, CAST(1 AS BIGINT) AS cargas, TRUE AS con_md5, TRUE AS con_archivo FROM bp GROUP BY anio, mes""",
             "bp",
         ),
         "file_fingerprint": "SELECT count(*) > 0 AS archivos, TRUE AS iguales, TRUE AS completos FROM lineitem",

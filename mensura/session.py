@@ -28,10 +28,12 @@ def local_session(cpus: str = "8", app: str = "mensura", memory: str = "12g") ->
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint folder.
 
-    The setting of the cluster wins.  Only where none is set, as in tests, a
-    temporary folder is made and set for the rest of the session.
+    The setting of the cluster wins.  Only a local session without one, as in
+    tests, gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="mensura-")
         spark.sparkContext.setCheckpointDir(root)

@@ -1,6 +1,5 @@
 """File fingerprints and reads with a declared schema."""
 
-import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,19 +12,30 @@ WHOLE_FILE_BYTES = 256 * 1024 * 1024
 BLOCK_BYTES = 8 * 1024 * 1024
 
 
-def _hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _block_hasher(block_bytes: int):
+    """Batch function that hashes files block by block.
 
-    for batch in batches:
-        sums = []
-        for uri in batch["path"]:
-            system, name = fs.FileSystem.from_uri(uri)
-            digest = hashlib.md5()
-            with system.open_input_stream(name) as stream:
-                while block := stream.read(BLOCK_BYTES):
-                    digest.update(block)
-            sums.append(digest.hexdigest())
-        yield pd.DataFrame({"path": batch["path"], "md5": sums})
+    Made here so that it travels by value: executors need not have this package.
+    """
+
+    def hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        import pandas
+        from pyarrow import fs
+
+        for batch in batches:
+            sums = []
+            for uri in batch["path"]:
+                system, name = fs.FileSystem.from_uri(uri)
+                digest = hashlib.md5()
+                with system.open_input_stream(name) as stream:
+                    while block := stream.read(block_bytes):
+                        digest.update(block)
+                sums.append(digest.hexdigest())
+            yield pandas.DataFrame({"path": batch["path"], "md5": sums})
+
+    return hash_blocks
 
 
 def file_fingerprints(spark: SparkSession, path: str, whole_below: int = WHOLE_FILE_BYTES) -> DataFrame:
@@ -33,7 +43,7 @@ def file_fingerprints(spark: SparkSession, path: str, whole_below: int = WHOLE_F
     files = spark.read.format("binaryFile").load(path)
     small = files.filter(F.col("length") < whole_below).select("path", F.md5("content").alias("md5"))
     large = files.filter(F.col("length") >= whole_below).select("path")
-    return small.unionByName(large.mapInPandas(_hash_blocks, "path string, md5 string"))
+    return small.unionByName(large.mapInPandas(_block_hasher(BLOCK_BYTES), "path string, md5 string"))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

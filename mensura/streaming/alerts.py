@@ -13,16 +13,19 @@ STATES = "series string, ts timestamp, figure double, state string, active_since
 _MEMORY = "since timestamp, last timestamp"
 
 
-def _follow(rule: Rule, step: int):
-    hold, gap = pd.Timedelta(seconds=rule.hold), pd.Timedelta(seconds=step)
+def _follow(threshold: float, hold_seconds: int, step_seconds: int):
+    """State function of one series; it travels by value, so executors need not have this package."""
 
     def follow(key: tuple, batches: Iterator[pd.DataFrame], memory: GroupState) -> Iterator[pd.DataFrame]:
+        import pandas
+
+        hold, gap = pandas.Timedelta(seconds=hold_seconds), pandas.Timedelta(seconds=step_seconds)
         # One row per evaluation of one series: as many as windows became final in this batch.
-        rows = pd.concat(list(batches)).sort_values("ts")
+        rows = pandas.concat(list(batches)).sort_values("ts")
         since, last = memory.get if memory.exists else (None, None)
         out = []
         for at, figure in zip(rows["ts"], rows["figure"]):
-            if pd.isna(figure) or not figure > rule.threshold:
+            if pandas.isna(figure) or not figure > threshold:
                 since, state = None, "inactive"
             else:
                 if since is None or (last is not None and at - last > gap):
@@ -31,7 +34,7 @@ def _follow(rule: Rule, step: int):
             last = at
             out.append((key[0], at, figure, state, since))
         memory.update((since, last))
-        yield pd.DataFrame(out, columns=["series", "ts", "figure", "state", "active_since"])
+        yield pandas.DataFrame(out, columns=["series", "ts", "figure", "state", "active_since"])
 
     return follow
 
@@ -45,5 +48,5 @@ def sustained(figures: DataFrame, rule: Rule, step: int) -> DataFrame:
     """
     keyed = figures.select(F.col("series").cast("string").alias("series"), "ts", F.col("figure").cast("double").alias("figure"))
     return keyed.groupBy("series").applyInPandasWithState(
-        _follow(rule, step), STATES, _MEMORY, "append", GroupStateTimeout.NoTimeout
+        _follow(rule.threshold, rule.hold, step), STATES, _MEMORY, "append", GroupStateTimeout.NoTimeout
     )
