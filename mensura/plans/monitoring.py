@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -161,3 +162,56 @@ def alert_states(cond: DataFrame, rule: Rule, series: Sequence[str], step: int)
 def alert_episodes(states: DataFrame, step: int, repeat: int = REPEAT_SECONDS) -> DataFrame:
     """Firing episodes per alert and severity."""
     return ts.episodes(states, ["alert", "severity"], repeat, step)
+
+
+# Names of the metrics the rules read.
+UP = "up"
+REQUESTS = "http_requests_total"
+LATENCY_BUCKETS = "http_request_duration_seconds_bucket"
+CPU_SECONDS = "node_cpu_seconds_total"
+MEMORY_AVAILABLE, MEMORY_TOTAL = "node_memory_MemAvailable_bytes", "node_memory_MemTotal_bytes"
+
+STATE_COLUMNS = ("alert", "severity", "series", "ts", "figure", "state", "active_since")
+
+
+def _requests(samples: DataFrame) -> DataFrame:
+    return flatten(metric(samples, REQUESTS), ["status_code", "method", "endpoint", "instance"])
+
+
+def _memory(samples: DataFrame) -> DataFrame:
+    """Both memory gauges of an instance and time on one row, from one scan."""
+    gauges = flatten(samples.filter(F.col("metric").isin(MEMORY_AVAILABLE, MEMORY_TOTAL)), ["instance"])
+    named = {"available": MEMORY_AVAILABLE, "total": MEMORY_TOTAL}
+    sides = [F.max(F.when(F.col("metric") == m, F.col("value"))).alias(n) for n, m in named.items()]
+    return memory_used(gauges.groupBy("instance", "ts").agg(*sides), "available", "total")
+
+
+def rule_states(samples: DataFrame, window: int = 300, step: int = 60) -> DataFrame:
+    """State of all six rules at every evaluation, from samples (ts, metric, labels, value).
+
+    A rule over a sum has one series (``''``); the others have one per instance.
+    """
+    requests = _requests(samples)
+    series = ["status_code", "method", "endpoint", "instance"]
+    latency = flatten(metric(samples, LATENCY_BUCKETS), ["le", "method", "endpoint", "instance"])
+    idle = flatten(metric(samples, CPU_SECONDS), ["mode", "cpu", "instance"]).filter(F.col("mode") == "idle")
+    up = flatten(metric(samples, UP), ["instance"]).withColumn("figure", F.col("value"))
+    one = F.lit("").alias("series")
+    per_instance = F.col("instance").alias("series")
+    conditions = [
+        (SERVICE_DOWN, down(up), per_instance),
+        (ERROR_RATE, exceeds(counter_error_ratio(requests, series, window, step), ERROR_RATE), one),
+        (AUTH_FAILURES, exceeds(counter_status_rate(requests, series, "403", window, step), AUTH_FAILURES), one),
+        (
+            SLOW,
+            exceeds(counter_latency_quantile(latency, ["le", "method", "endpoint", "instance"], 0.95, window, step), SLOW),
+            one,
+        ),
+        (CPU_HIGH, exceeds(cpu_busy(idle, ["instance", "cpu"], window, step), CPU_HIGH), per_instance),
+        (MEMORY_HIGH, exceeds(_memory(samples), MEMORY_HIGH, at="ts"), per_instance),
+    ]
+    states = [
+        alert_states(cond.select("ts", "figure", "holds", name), rule, ["series"], step).select(*STATE_COLUMNS)
+        for rule, cond, name in conditions
+    ]
+    return reduce(DataFrame.unionByName, states)

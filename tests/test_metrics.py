@@ -154,3 +154,33 @@ def test_last_values_and_uptime(spark):
 def test_windows_must_fit_the_slide(spark):
     with pytest.raises(ValueError):
         ts.event_rate(samples(spark, ({"i": "x"}, [1])), [], 100, 60)
+
+
+def test_all_rules_at_once(spark):
+    def of(name, *series):
+        return samples(spark, *series).withColumn("metric", F.lit(name))
+
+    climbing = [100 * i for i in range(9)]
+    flat = [0] * 9
+    host = {"instance": "h"}
+    every = (
+        of(mon.UP, ({"instance": "api"}, flat), ({"instance": "web"}, [1] * 9))
+        .union(of(mon.REQUESTS, ({"status_code": "500", "endpoint": "/f"}, climbing), ({"status_code": "200"}, climbing)))
+        .union(of(mon.REQUESTS, ({"status_code": "403"}, [i for i in range(9)])))
+        .union(of(mon.LATENCY_BUCKETS, ({"le": "5.0"}, flat), ({"le": "7.5"}, climbing), ({"le": "+Inf"}, climbing)))
+        .union(of(mon.CPU_SECONDS, ({**host, "mode": "idle", "cpu": "0"}, flat), ({**host, "mode": "user", "cpu": "0"}, climbing)))
+        .union(of(mon.MEMORY_AVAILABLE, (host, [10] * 9)))
+        .union(of(mon.MEMORY_TOTAL, (host, [100] * 9)))
+    )
+    states = mon.rule_states(every, WINDOW, MINUTE)
+    firing = {(r["alert"], r["severity"], r["series"]) for r in states.filter("state = 'firing'").collect()}
+    assert firing == {
+        ("ServicioCaido", "critical", "api"),
+        ("ErrorRateAlto", "warning", ""),
+        ("LatenciaForecastAlta", "warning", ""),
+        ("CPUAltaSostenida", "info", "h"),
+        ("MemoriaAltaSostenida", "info", "h"),
+    }
+    spans = rows.as_dicts(mon.alert_episodes(states, MINUTE), "alert")
+    assert spans["ServicioCaido"]["started_at"] == T0 + dt.timedelta(minutes=1)
+    assert spans["MemoriaAltaSostenida"]["started_at"] == T0 + dt.timedelta(minutes=5)
