@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mensura.llm import licenses, quality
+from mensura.llm import licenses, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,12 +17,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    own = [op1_quality_rules, op8_license_scan]
+    own = [op1_quality_rules, op5_toxicity, op8_license_scan]
     return {f.__name__: f for f in own}
 
 
