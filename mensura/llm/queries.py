@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mensura.llm import licenses, quality, toxicity
+from mensura.llm import decontam, licenses, lines, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,10 +25,18 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    own = [op1_quality_rules, op5_toxicity, op8_license_scan]
+    own = [op1_quality_rules, op5_toxicity, op8_license_scan, op9_line_dedup, op10_decontamination]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": lines.SQL}
