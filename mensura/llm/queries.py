@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mensura.llm import decontam, licenses, lines, quality, toxicity
+from mensura.llm import decontam, idfiles, licenses, lines, quality, segments, tokencount, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = segments.tokenizers_path("word_bpe_49k.json")
+    return idfiles.id_files(spark, table(spark, sf_dir, "documents"), tokenizer, 49408)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = segments.tokenizers_path("byte_bpe_50k.json")
+    return tokencount.token_counts(spark, table(spark, sf_dir, "documents"), tokenizer)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,7 +44,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = [op1_quality_rules, op5_toxicity, op8_license_scan, op9_line_dedup, op10_decontamination]
+    own = [op1_quality_rules, op3_token_id_files, op4_token_counts, op5_toxicity, op8_license_scan, op9_line_dedup, op10_decontamination]
     return {f.__name__: f for f in own}
 
 
