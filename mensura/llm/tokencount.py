@@ -150,7 +150,7 @@ def spliced(encoded: DataFrame) -> DataFrame:
     left = encoded.where("chunk < chunks - 1").select("row", (F.col("chunk") + 1).alias("b"), F.col("last").alias("l"))
     same = "l.at = r.at and l.stop = r.stop and l.id = r.id and l.next = r.next"
     pairs = left.join(right, ["row", "b"]).selectExpr(
-        "row", f"filter(transform(l, l -> struct(l.before as upto, filter(r, r -> {same})[0] as r)), x -> x.r is not null)[0] as hit"
+        "row", f"get(filter(transform(l, l -> struct(l.before as upto, get(filter(r, r -> {same}), 0) as r)), x -> x.r is not null), 0) as hit"
     )
     borders = pairs.groupBy("row").agg(F.sum(F.col("hit.upto") - F.col("hit.r.before")).alias("inner"), F.count("hit").alias("found"))
     last = encoded.where("chunk = chunks - 1").select("row", "chunks", "n")
