@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mensura.llm import decontam, idfiles, licenses, lines, pieces, quality, segments, tokencount, toxicity
+from mensura.llm import decontam, idfiles, jaccard, licenses, lines, pieces, quality, segments, tokencount, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_join(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = segments.tokenizers_path("piece_bpe_32k.model")
     return pieces.round_trip(spark, table(spark, sf_dir, "documents"), model)
@@ -49,7 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = [op1_quality_rules, op3_token_id_files, op4_token_counts, op5_toxicity, op7_sentencepiece, op8_license_scan, op9_line_dedup, op10_decontamination]
+    own = [op1_quality_rules, op3_token_id_files, op4_token_counts, op5_toxicity, op6_ngram_jaccard_join, op7_sentencepiece, op8_license_scan, op9_line_dedup, op10_decontamination]
     return {f.__name__: f for f in own}
 
 
