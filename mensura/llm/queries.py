@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mensura.llm import decontam, idfiles, jaccard, licenses, lines, pieces, quality, segments, tokencount, toxicity
+from mensura.llm import decontam, idfiles, jaccard, licenses, lines, pieces, quality, segments, suffix, tokencount, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(spark, table(spark, sf_dir, "documents"), keep=False).drop("kept")
+
+
 def op3_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = segments.tokenizers_path("word_bpe_49k.json")
     return idfiles.id_files(spark, table(spark, sf_dir, "documents"), tokenizer, 49408)
@@ -53,7 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = [op1_quality_rules, op3_token_id_files, op4_token_counts, op5_toxicity, op6_ngram_jaccard_join, op7_sentencepiece, op8_license_scan, op9_line_dedup, op10_decontamination]
+    own = [op1_quality_rules, op2_suffix_array_dedup, op3_token_id_files, op4_token_counts, op5_toxicity, op6_ngram_jaccard_join, op7_sentencepiece, op8_license_scan, op9_line_dedup, op10_decontamination]
     return {f.__name__: f for f in own}
 
 
