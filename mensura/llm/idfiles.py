@@ -44,19 +44,42 @@ def width(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
-    """Ids, lowest bit first, one after another; the last byte is filled with zeros."""
-    ids = np.ascontiguousarray(ids, "<u4")
-    return np.packbits(np.unpackbits(ids.view(np.uint8).reshape(-1, 4), axis=1, count=bits, bitorder="little"), bitorder="little").tobytes()
+    """Ids, lowest bit first, one after another; the last byte is filled with zeros.
+
+    Eight ids fill exactly `bits` bytes, so each byte of such a group is made for
+    all groups at once.
+    """
+    count = len(ids)
+    groups = np.zeros((-(-count // 8), 8), np.uint64)
+    groups.ravel()[:count] = ids
+    columns = np.ascontiguousarray(groups.T)
+    out = np.zeros((len(groups), bits), np.uint8)
+    for j in range(bits):
+        cell = np.zeros(len(groups), np.uint64)
+        for k in range(8 * j // bits, min(7, (8 * j + 7) // bits) + 1):
+            shift = k * bits - 8 * j
+            cell |= columns[k] << np.uint64(shift) if shift >= 0 else columns[k] >> np.uint64(-shift)
+        out[:, j] = cell.astype(np.uint8)
+    return out.tobytes()[: -(-count * bits // 8)]
 
 
 def unpack(raw: bytes | memoryview, bits: int, count: int, first: int = 0) -> np.ndarray:
     """`count` ids from the id `first` on."""
-    at = first * bits
-    cells = np.frombuffer(raw, np.uint8)[at // 8 : (at + count * bits + 7) // 8]
-    flat = np.unpackbits(cells, bitorder="little")[at % 8 : at % 8 + count * bits].reshape(count, bits)
-    out = np.zeros((count, 32), np.uint8)
-    out[:, :bits] = flat
-    return np.packbits(out, axis=1, bitorder="little").view("<u4").ravel()
+    skip = first % 8
+    groups = -(-(skip + count) // 8)
+    cells = np.zeros(groups * bits, np.uint8)
+    held = np.frombuffer(raw, np.uint8)[first // 8 * bits : first // 8 * bits + len(cells)]
+    cells[: len(held)] = held
+    columns = np.ascontiguousarray(cells.reshape(groups, bits).T).astype(np.uint64)
+    out = np.empty((groups, 8), "<u4")
+    mask = np.uint64((1 << bits) - 1)
+    for k in range(8):
+        value = np.zeros(groups, np.uint64)
+        for j in range(k * bits // 8, (k * bits + bits - 1) // 8 + 1):
+            shift = 8 * j - k * bits
+            value |= columns[j] << np.uint64(shift) if shift >= 0 else columns[j] >> np.uint64(-shift)
+        out[:, k] = value & mask
+    return out.ravel()[skip : skip + count]
 
 
 def packed_blocks(ids: np.ndarray, bits: int, block_ids: int) -> tuple[bytes, list[int]]:
@@ -84,7 +107,7 @@ def _write_runs(path: str, bits: int, block_ids: int, run_ids: int, end_id: int,
     from pyspark import TaskContext
 
     part, run = TaskContext.get().partitionId(), 0
-    memo = sg.Memo(sg.library_encoder(path))
+    memo = sg.Memo(sg.word_encoder(path))
     ids: list[np.ndarray] = []
     doc_ids: list = []
     doc_starts: list[int] = []
@@ -105,7 +128,8 @@ def _write_runs(path: str, bits: int, block_ids: int, run_ids: int, end_id: int,
         names = batch.column("doc_id").to_pylist()
         for block in tx.blocks(batch, size=tx.BLOCK_BYTES // 2):
             starts, ends, first = sg.cut_before_space(block)
-            flat, sizes = memo.ids(memo.entries(block.data, starts, ends))
+            folded, starts = sg.without_case(block, starts, ends)
+            flat, sizes = memo.ids(memo.entries(folded.data, starts, ends))
             bounds = np.concatenate([[0], np.cumsum(sizes)])[first]
             for i in range(len(block)):
                 own = flat[bounds[i] : bounds[i + 1]]
@@ -121,7 +145,10 @@ def _write_runs(path: str, bits: int, block_ids: int, run_ids: int, end_id: int,
 
 
 def write_ids(documents: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int = END_ID) -> None:
-    """Encodes every text and writes the files.  One range shuffle brings the rows into order."""
+    """Encodes every text and writes the files.  One range shuffle brings the rows into order.
+
+    The tokenizer must drop white space and case, as the word model here does.
+    """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     bits = width(max(vocabulary, end_id + 1))
