@@ -107,7 +107,7 @@ def _write_runs(path: str, bits: int, block_ids: int, run_ids: int, end_id: int,
     from pyspark import TaskContext
 
     part, run = TaskContext.get().partitionId(), 0
-    memo = sg.Memo(sg.word_encoder(path))
+    memo = sg.kept_memo(path, "words")
     ids: list[np.ndarray] = []
     doc_ids: list = []
     doc_starts: list[int] = []

@@ -40,7 +40,7 @@ from mensura.session import scratch
 # Fixed value: the mark of a blank.
 BLANK = "▁"
 CHUNK = 64 << 10
-PAIRS = 1 << 20  # pairs of pieces that a task remembers
+PAIRS, WORDS = 1 << 20, 1 << 19  # pairs of pieces and words that a task remembers
 NEVER = -np.inf
 
 
@@ -206,7 +206,7 @@ def checksum(ids: np.ndarray, before: int = 0) -> int:
 def _encode_short(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of texts of one chunk."""
     pieces = Pieces(path)
-    memo = sg.Memo(pieces.word_ids)
+    memo = sg.Memo(pieces.word_ids, WORDS)
     for batch in batches:
         for block in tx.blocks(batch, "__text", size=tx.BLOCK_BYTES // 2):
             padded = with_first_blank(block)
@@ -327,7 +327,7 @@ def solver(pieces: Pieces):
     known: dict[str, list[str]] = {}
 
     def solve(text: str) -> list[str]:
-        if len(known) > sg.MEMO:
+        if len(known) > WORDS:
             known.clear()
         places = [0, *stops(text, pieces.joined), len(text)]
         out = []

@@ -4,8 +4,8 @@ Both JSON tokenizers first split a text by a pattern that never joins a
 character to white space after it, nor a letter to a mark after it, so a text can
 be cut before ASCII white space that follows a character which is none itself,
 and between ASCII letters and marks: the encodings of the segments,
-one after another, are the encoding of the text.  Words repeat, so each task
-encodes a segment once, with the library, and keeps its ids in a table of
+one after another, are the encoding of the text.  Words repeat, so each Python
+worker encodes a segment once, with the library, and keeps its ids in a table of
 bounded size.
 """
 
@@ -22,7 +22,7 @@ _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
 _MARK = np.zeros(256, bool)
 _MARK[0x21:0x30] = _MARK[0x3A:0x41] = _MARK[0x5B:0x61] = _MARK[0x7B:0x7F] = True
 
-MEMO = 1 << 19  # segments that a task keeps before it starts anew
+MEMO = 1 << 20  # segments that a memo holds before it starts anew: some 60 MB
 
 
 def tokenizers_path(name: str) -> str:
@@ -146,6 +146,17 @@ class Memo:
         return self.flat[shift + np.arange(len(shift))], sizes
 
 
+_KEPT: dict[tuple[str, str], Memo] = {}
+
+
+def kept_memo(path: str, kind: str) -> Memo:
+    """The memo of this Python worker, which Spark reuses for many tasks: a word is encoded once a worker, not once a task."""
+    key = (path, kind)
+    if key not in _KEPT:
+        _KEPT[key] = Memo({"words": word_encoder, "any": library_encoder}[kind](path))
+    return _KEPT[key]
+
+
 def library_encoder(path: str) -> Callable[[list[bytes]], list]:
     tokenizer = open_tokenizer(path)
 
