@@ -1,6 +1,7 @@
 """The three jobs of a month, for any scheduler.
 
-    python -m mensura.jobs ingest    --warehouse DIR --produccion CSV --pozos CSV --run-id ID
+    python -m mensura.jobs ingest    --warehouse DIR --produccion CSV... --pozos CSV... --run-id ID
+        [--date-from DAY] [--date-to DAY] [--interval-start DAY --interval-end DAY] [--multiline]
     python -m mensura.jobs transform --warehouse DIR --run-id ID [--cutoff 2024-06-01]
     python -m mensura.jobs train     --warehouse DIR --target prod_pet --run-id ID [--min-skill 0.0]
 
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from mensura.operators import load, versions
 from mensura.plans import forecast, models, publish, quality
 from mensura.schemas import BRONZE_POZOS, BRONZE_PRODUCCION, LOAD_METADATA
-from mensura.sources.csv import scan_csv
+from mensura.sources.csv import scan_csv_files
 from mensura.sources.files import file_fingerprints, read_table
 
 
@@ -33,6 +34,10 @@ class Warehouse:
     def produccion(self) -> str:
         return os.path.join(self.root, "bronze", "produccion")
 
+    @property
+    def rejected(self) -> str:
+        return os.path.join(self.root, "bronze", "rejected")
+
     @property
     def pozos(self) -> str:
         return os.path.join(self.root, "bronze", "pozos")
@@ -46,30 +51,45 @@ class Warehouse:
         return os.path.join(self.root, "ml")
 
 
-def _loaded(spark: SparkSession, path: str, schema: T.StructType, run_id: str, load_type: str) -> DataFrame:
-    scan = scan_csv(spark, path, schema, with_file=True)
-    return load.with_load_metadata(scan, path, run_id, load_type, file_fingerprints(spark, path))
+def _loaded(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, run_id: str, load_type: str, multiline: bool
+) -> DataFrame:
+    """Rows of the files with their load metadata; files may differ in the order and number of their columns."""
+    paths = [path] if isinstance(path, str) else path
+    scan = scan_csv_files(spark, paths, schema, multiline=multiline)
+    return load.with_load_metadata(scan, ",".join(paths), run_id, load_type, file_fingerprints(spark, paths))
 
 
 def ingest(
     spark: SparkSession,
     warehouse: Warehouse,
     run_id: str,
-    produccion: str | None = None,
-    pozos: str | None = None,
-    date_from: dt.date | None = load.DEFAULT_WINDOW[0],
-    date_to: dt.date | None = load.DEFAULT_WINDOW[1],
-) -> None:
+    produccion: str | list[str] | None = None,
+    pozos: str | list[str] | None = None,
+    date_from: dt.date | None = None,
+    date_to: dt.date | None = None,
+    interval: tuple[dt.date, dt.date] | None = None,
+    multiline: bool = False,
+) -> int:
     """Load landed files: production by period inside the window, wells as a whole snapshot.
 
-    A repeated attempt loads the production again and leaves a snapshot that is
-    already published.
+    Missing dates come from the scheduled interval, whose end is exclusive; without
+    one, every period loads.  Rows without a sound period are kept apart, under
+    their batch, and counted.  A repeated attempt loads the production again and
+    leaves a snapshot that is already published.
     """
+    refused = 0
     if produccion:
-        rows = _loaded(spark, produccion, BRONZE_PRODUCCION, run_id, "merge")
-        load.merge_by_period(load.period_filter(rows, date_from, date_to), warehouse.produccion)
+        rows = _loaded(spark, produccion, BRONZE_PRODUCCION, run_id, "merge", multiline)
+        unsound = load.rejected(rows)
+        refused = unsound.count()
+        if refused:
+            load.replace_by_key(unsound, warehouse.rejected, "_batch_id")
+        window = load.load_window(date_from, date_to, interval)
+        load.merge_by_period(load.period_filter(rows, *window), warehouse.produccion)
     if pozos and not versions.is_published(spark, warehouse.pozos, run_id):
-        load.replace_full(_loaded(spark, pozos, BRONZE_POZOS, run_id, "full"), warehouse.pozos, run_id)
+        load.replace_full(_loaded(spark, pozos, BRONZE_POZOS, run_id, "full", multiline), warehouse.pozos, run_id)
+    return refused
 
 
 def bronze(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
@@ -107,16 +127,20 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
         job.add_argument("--warehouse", required=True)
         job.add_argument("--run-id", required=True)
         if name == "ingest":
-            job.add_argument("--produccion")
-            job.add_argument("--pozos")
-            job.add_argument("--date-from", type=dt.date.fromisoformat, default=load.DEFAULT_WINDOW[0])
-            job.add_argument("--date-to", type=dt.date.fromisoformat, default=load.DEFAULT_WINDOW[1])
+            job.add_argument("--produccion", nargs="+")
+            job.add_argument("--pozos", nargs="+")
+            for day in ("--date-from", "--date-to", "--interval-start", "--interval-end"):
+                job.add_argument(day, type=dt.date.fromisoformat)
+            job.add_argument("--multiline", action="store_true", help="line breaks inside quotes, one task per file")
         elif name == "transform":
             job.add_argument("--cutoff", type=dt.date.fromisoformat)
         else:
             job.add_argument("--target", choices=forecast.TARGETS, default="prod_pet")
             job.add_argument("--min-skill", type=float, default=forecast.MIN_SKILL)
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.job == "ingest" and (args.interval_start is None) != (args.interval_end is None):
+        parser.error("an interval needs both its start and its end")
+    return args
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -124,7 +148,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"mensura-{args.job}").getOrCreate()
     warehouse = Warehouse(args.warehouse)
     if args.job == "ingest":
-        ingest(spark, warehouse, args.run_id, args.produccion, args.pozos, args.date_from, args.date_to)
+        interval = (args.interval_start, args.interval_end) if args.interval_start else None
+        refused = ingest(
+            spark, warehouse, args.run_id, args.produccion, args.pozos, args.date_from, args.date_to, interval, args.multiline
+        )
+        if refused:
+            print(f"{refused} rows without a sound period are in {warehouse.rejected}", file=sys.stderr)
     elif args.job == "transform":
         outcome = transform(spark, warehouse, args.run_id, args.cutoff)
         outcome.report.filter("status <> 'pass'").show(100, truncate=False)

@@ -29,17 +29,21 @@ def period_filter(df: DataFrame, date_from: dt.date | None = None, date_to: dt.d
     return rows.drop("_period")
 
 
-# The window loaded when a job names none.
-DEFAULT_WINDOW = (dt.date(2023, 1, 1), dt.date(2024, 12, 31))
+def rejected(df: DataFrame) -> DataFrame:
+    """Rows without a sound period, which no load takes."""
+    return df.filter(coerced_period().isNull())
 
 
 def load_window(
     date_from: dt.date | None,
     date_to: dt.date | None,
-    scheduled: tuple[dt.date, dt.date],
-) -> tuple[dt.date, dt.date]:
+    scheduled: tuple[dt.date, dt.date] | None = None,
+) -> tuple[dt.date | None, dt.date | None]:
     """First and last day to load.  A missing end comes from the scheduled interval,
-    whose own end is exclusive, so a monthly run loads one month."""
+    whose own end is exclusive, so a monthly run loads one month; without an
+    interval it is open."""
+    if scheduled is None:
+        return date_from, date_to
     start, end = scheduled
     return date_from or start, date_to or end - dt.timedelta(days=1)
 
@@ -53,7 +57,8 @@ def with_load_metadata(
 ) -> DataFrame:
     """Add the six technical columns to the rows of a scan made ``with_file``.
 
-    All rows of one load carry one time.  The fingerprint table has one row per file.
+    All rows of one load carry one time.  The fingerprint table has one row per
+    file, under the same encoded path as the scan.
     """
     if load_type not in ("full", "merge"):
         raise ValueError("load_type must be 'full' or 'merge'")

@@ -7,6 +7,8 @@ or TIMESTAMP_NTZ; widths are whole seconds.
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,9 +132,14 @@ def avg_over_time(
 
 
 def last_values(samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value") -> DataFrame:
-    """Current value per gauge series."""
-    newest = F.max(F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))).getField("v")
-    return samples.groupBy(*series).agg(newest.alias(value))
+    """Current value per gauge series, the largest of those at its newest time.
+
+    Two sums over hashes instead of a maximum over pairs, for which Spark would
+    sort the whole log.
+    """
+    newest = samples.groupBy(*series).agg(F.max(ts).alias("_newest")).withColumnsRenamed({s: f"_of_{s}" for s in series})
+    same = reduce(and_, [F.col(s).eqNullSafe(F.col(f"_of_{s}")) for s in series], F.col(ts).eqNullSafe(F.col("_newest")))
+    return samples.join(newest, same).groupBy(*series).agg(F.max(value).alias(value))
 
 
 # --- histograms -------------------------------------------------------------

@@ -36,7 +36,9 @@ def loads() -> dict[str, str]:
                count(*) AS filas, CAST(1 AS BIGINT) AS cargas, TRUE AS con_md5, TRUE AS con_archivo FROM bp GROUP BY anio, mes""",
             "bp",
         ),
-        "file_fingerprint": "SELECT count(*) > 0 AS archivos, TRUE AS iguales, TRUE AS completos FROM lineitem",
+        "file_fingerprint": """
+            SELECT c_nationkey, md5(string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10)) AS md5
+            FROM customer GROUP BY c_nationkey""",
         "schema_evolve_union": sql(
             """SELECT anio, count(*) AS filas, count(*) FILTER (WHERE anio >= 1998) AS con_tef,
                count(*) FILTER (WHERE anio >= 1998) AS con_habilitado,

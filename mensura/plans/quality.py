@@ -187,7 +187,9 @@ def mean_includes_current(offline: DataFrame) -> DataFrame:
 def online_differs(online: DataFrame, offline: DataFrame) -> DataFrame:
     """Wells whose online row is not their last offline row, over all shared columns."""
     shared = [c for c in FEAT_ONLINE.names if c != "idpozo"]
-    last = offline.groupBy("idpozo").agg(F.max_by(F.struct(*shared), F.col("fecha_mes")).alias("_last"))
+    newest = offline.groupBy(F.col("idpozo").alias("_well")).agg(F.max("fecha_mes").alias("_month"))
+    rows = offline.select("idpozo", "fecha_mes", F.struct(*shared).alias("_last"))
+    last = rows.join(newest, (F.col("idpozo") == F.col("_well")) & (F.col("fecha_mes") == F.col("_month"))).select("idpozo", "_last")
     both = online.join(last, "idpozo")
     differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_last.{c}")) for c in shared])
     return both.filter(differs).select("idpozo", "fecha_mes", F.col("_last.fecha_mes").alias("ultimo_offline"))

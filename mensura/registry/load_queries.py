@@ -113,16 +113,13 @@ def bronze_load_metadata(spark, sf_dir):
 
 @query
 def file_fingerprint(spark, sf_dir):
-    """One MD5 per file of a drop: unchanged files keep theirs, whole or block by block."""
-    drop = _production_drop(spark, sf_dir)
-    whole = file_fingerprints(spark, drop)
-    blocks = file_fingerprints(spark, drop, whole_below=0).withColumnRenamed("md5", "md5_blocks")
-    both = whole.join(blocks, "path")
-    return both.agg(
-        (F.count(F.lit(1)) > 0).alias("archivos"),
-        F.bool_and(F.col("md5") == F.col("md5_blocks")).alias("iguales"),
-        F.bool_and(F.length("md5") == 32).alias("completos"),
-    )
+    """MD5 of each file of a drop with one file per nation, whose lines are its customers in order."""
+    drop = scratch(spark, "nations")
+    names = src.table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_name")
+    ordered = names.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    ordered.select("c_nationkey", "c_name").write.partitionBy("c_nationkey").text(drop)
+    nation = F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("int")
+    return file_fingerprints(spark, drop).select(nation.alias("c_nationkey"), "md5")
 
 
 @query

@@ -131,8 +131,7 @@ def ts_in_progress(spark, sf_dir):
 
 
 def _request_stream(spark, sf_dir):
-    events = src.table(spark, sf_dir, "events")
-    stream = stream_rates.read_stream(spark, sf_dir, "events.parquet", events.schema)
+    stream = stream_rates.read_stream(spark, f"{sf_dir}/events.parquet")
     log = src.as_requests(stream)
     return log.withColumn("ts", F.col("ts").cast("timestamp"))
 

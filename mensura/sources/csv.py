@@ -1,6 +1,8 @@
 """CSV drops, read by header name and typed without inference."""
 
 from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,3 +78,26 @@ def scan_csv(
     )
     extra = file_columns() if with_file else []
     return raw.select(*typed_columns(raw, schema, na_values), *extra)
+
+
+def scan_csv_files(spark: SparkSession, paths: list[str], schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """Scan of files whose headers may differ, each file read by its own header.
+
+    Files with one header are one scan, so a drop of many like files stays one.
+    The driver reads the first line of each file, no more.
+    """
+    lines = spark.read.text(paths, recursiveFileLookup=True)
+    at = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    first = lines.where(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("file"), at.alias("at"), "value")
+    headers = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    like = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    scans = [scan_csv(spark, sorted(_plain(f) for f in r["files"]), schema, multiline=multiline, with_file=True) for r in like]
+    if not scans:
+        empty = scan_csv(spark, paths, schema, multiline=multiline, with_file=True)
+        return empty
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _plain(uri: str) -> str:
+    """Path of a file as readers take it: the metadata column has it percent-encoded."""
+    return unquote(uri)

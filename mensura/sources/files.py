@@ -1,49 +1,18 @@
 """File fingerprints and reads with a declared schema."""
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Larger files do not fit one value; they are hashed block by block in a task.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-BLOCK_BYTES = 8 * 1024 * 1024
-
 
-def _block_hasher(block_bytes: int):
-    """Batch function that hashes files block by block.
+def file_fingerprints(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Path and MD5 of every file, to see whether a source changed between loads.
 
-    Made here so that it travels by value: executors need not have this package.
+    The path is that of the metadata column, so it joins with the rows of any
+    scan.  Spark reads a file as one value, at most 2 GB; it fails on a larger one.
     """
-
-    def hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-
-        import pandas
-        from pyarrow import fs
-
-        for batch in batches:
-            sums = []
-            for uri in batch["path"]:
-                system, name = fs.FileSystem.from_uri(uri)
-                digest = hashlib.md5()
-                with system.open_input_stream(name) as stream:
-                    while block := stream.read(block_bytes):
-                        digest.update(block)
-                sums.append(digest.hexdigest())
-            yield pandas.DataFrame({"path": batch["path"], "md5": sums})
-
-    return hash_blocks
-
-
-def file_fingerprints(spark: SparkSession, path: str, whole_below: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Path and MD5 of every file, to see whether a source changed between loads."""
-    files = spark.read.format("binaryFile").load(path)
-    small = files.filter(F.col("length") < whole_below).select("path", F.md5("content").alias("md5"))
-    large = files.filter(F.col("length") >= whole_below).select("path")
-    return small.unionByName(large.mapInPandas(_block_hasher(BLOCK_BYTES), "path string, md5 string"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.md5("content").alias("md5"))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

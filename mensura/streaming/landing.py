@@ -57,9 +57,13 @@ def merge_landing(
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        sound = batch.filter(coerced_period().isNotNull())
-        if not sound.isEmpty():
-            replace_partitions(newest_delivery(sound).drop(DELIVERY), target, PERIOD)
+        # Kept for the three uses below, so the files are read once; lost blocks are read again.
+        sound = batch.filter(coerced_period().isNotNull()).persist()
+        try:
+            if not sound.isEmpty():
+                replace_partitions(newest_delivery(sound).drop(DELIVERY), target, PERIOD)
+        finally:
+            sound.unpersist()
 
     return (
         read_landing(spark, folder, schema)

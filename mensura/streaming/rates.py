@@ -1,6 +1,8 @@
 """Windowed service figures as a stream, with a watermark for late rows."""
 
+import os
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,9 +68,20 @@ def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def read_stream(spark: SparkSession, folder: str, file_pattern: str, schema, files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_pattern)
+def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table as a stream, be it a folder of part files or one file.
+
+    A table without files raises: a stream over it would end without a word.
+    """
+    table = spark.read.parquet(path)
+    files = table.inputFiles()
+    if not files:
+        raise FileNotFoundError(f"{path} has no files")
+    reader = spark.readStream.schema(table.schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    folder, name = os.path.split(path.rstrip("/"))
+    if len(files) == 1 and unquote(files[0]).endswith(f"/{name}"):
+        # A stream reads folders; this one passes all but the one file.
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)

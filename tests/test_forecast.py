@@ -99,7 +99,7 @@ def test_metrics(spark):
 def test_persistence(layers):
     found = rows.as_dicts(forecast.naive(layers["feat_produccion_online"]), "idpozo")
     got = {w: (r["prediccion"], str(r["fecha_mes_pred"])) for w, r in found.items()}
-    assert got == {"1": (95.0, "2024-03-01"), "2": (190.0, "2024-03-01"), "3": (10.0, "2024-02-01")}
+    assert got == {"1": (80.0, "2024-03-01"), "2": (300.0, "2024-03-01"), "3": (12.5, "2024-02-01")}
 
 
 def test_fallback(layers, spark):
@@ -107,7 +107,7 @@ def test_fallback(layers, spark):
     scored = forecast.naive(on).filter("idpozo <> '2'").withColumn("prediccion", F.lit(1.0))
     found = rows.as_dicts(forecast.with_fallback(scored, on, max_age_months=0), "idpozo")
     assert {w: (r["strategy"], r["prediccion"]) for w, r in found.items()} == {
-        "1": ("model", 1.0), "2": ("persistence", 190.0), "3": ("persistence", 10.0),
+        "1": ("model", 1.0), "2": ("persistence", 300.0), "3": ("persistence", 12.5),
     }
 
 

@@ -18,7 +18,7 @@ def write_csv(spark, df, path):
 def test_a_month_from_files_to_forecast(spark, tmp_path):
     house = jobs.Warehouse(str(tmp_path / "house"))
     made = [
-        (w, f"EMP{w % 2}", 2023 + m // 12, m % 12 + 1, 100.0 * w + 30.0 * (m % 2), 5.0 * w + m % 3, 1.0, 30.0, f"Empresa {w % 2}", "Loma Campana")
+        (w, f"EMP{w % 2}", 2023 + m // 12, m % 12 + 1, 100.0 * w + 30.0 * (m % 2), 5.0 * w + m % 3, 1.0, 30.0, f"Empresa {w % 2}", "Bajo Norte")
         for w in (1, 2, 3) for m in range(24)
     ]
     produccion = write_csv(spark, rows.produccion(spark, made), str(tmp_path / "prod"))
@@ -56,6 +56,23 @@ def test_a_month_from_files_to_forecast(spark, tmp_path):
     assert versions.current(spark, house.gold) == "t-past"
 
 
+def test_ingest_loads_every_period_or_the_month_of_its_interval(spark, tmp_path):
+    raw = [rows.produccion_row(1, "C07", y, m, 1.0, 1.0, 1.0, 1.0, "N", "A") for y, m in ((2019, 5), (2024, 3), (2026, 7))]
+    raw += [rows.produccion_row(2, "C07", y, m, 1.0, 1.0, 1.0, 1.0, "N", "A") for y, m in ((2024, 13), (None, 2))]
+    drop = write_csv(spark, rows.produccion(spark, raw), str(tmp_path / "drop"))
+
+    def loaded(name, *more):
+        house = jobs.Warehouse(str(tmp_path / name))
+        assert jobs.main(["ingest", "--warehouse", house.root, "--run-id", "r", "--produccion", drop, *more]) == 0
+        assert spark.read.parquet(house.rejected).count() == 2
+        periods = spark.read.parquet(house.produccion).select("anio", "mes").collect()
+        return {(r["anio"], r["mes"]) for r in periods}
+
+    assert loaded("all") == {(2019, 5), (2024, 3), (2026, 7)}
+    assert loaded("month", "--interval-start", "2024-03-01", "--interval-end", "2024-04-01") == {(2024, 3)}
+    assert loaded("since", "--date-from", "2024-01-01") == {(2024, 3), (2026, 7)}
+
+
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
 def test_lookup_with_a_hot_key(spark, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -41,10 +41,10 @@ def test_features_of_the_first_well(layers):
     found = rows.as_dicts(layers["feat_produccion_offline"], "idpozo", "fecha_mes")
     first, second = found[(1, JAN)], found[(1, FEB)]
     assert first["prod_pet_lag1"] is None and first["prod_pet_ma3"] is None
-    assert (first["target_prod_pet_m1"], first["target_prod_gas_m1"], first["meses_en_produccion"]) == (95.0, 48.0, 1)
-    assert (second["prod_pet_lag0"], second["prod_pet_lag1"], second["prod_pet_ma3"]) == (95.0, 100.5, 100.5)
-    assert second["prod_pet_std3"] is None and second["prod_pet_delta1"] == -5.5
-    assert round(second["prod_pet_pct1"], 6) == -0.054726 and round(second["ratio_gas_pet"], 6) == 0.505263
+    assert (first["target_prod_pet_m1"], first["target_prod_gas_m1"], first["meses_en_produccion"]) == (80.0, 28.0, 1)
+    assert (second["prod_pet_lag0"], second["prod_pet_lag1"], second["prod_pet_ma3"]) == (80.0, 64.0, 64.0)
+    assert second["prod_pet_std3"] is None and second["prod_pet_delta1"] == 16.0
+    assert round(second["prod_pet_pct1"], 6) == 0.25 and round(second["ratio_gas_pet"], 6) == 0.35
     assert second["target_prod_pet_m1"] is None and second["meses_en_produccion"] == 2
 
 
@@ -71,7 +71,7 @@ def test_ties_do_not_depend_on_the_partitioning(spark):
 def test_master_keeps_the_fullest_row(spark):
     full, gap = rows.WELLS[0], (*rows.WELLS[0][:2], None, *rows.WELLS[0][3:])
     other = (*full[:4], "Zzz", *full[5:])
-    assert silver.stg_pozos(rows.pozos(spark, [gap, other, full])).collect()[0]["area_yacimiento"] == "Loma Campana"
+    assert silver.stg_pozos(rows.pozos(spark, [gap, other, full])).collect()[0]["area_yacimiento"] == "Bajo Norte"
 
 
 def test_month_out_of_range_is_null_and_does_not_stop_the_build(spark):
@@ -147,7 +147,7 @@ def test_cutoff_modes(spark, layers):
     fct, wells = layers["fct_produccion"], layers["dim_pozo"]
     asof = rows.as_dicts(features.offline(fct, wells, JAN), "idpozo")
     literal = rows.as_dicts(features.offline(fct, wells, JAN, mode="literal"), "idpozo")
-    assert asof[1]["target_prod_pet_m1"] is None and literal[1]["target_prod_pet_m1"] == 95.0
+    assert asof[1]["target_prod_pet_m1"] is None and literal[1]["target_prod_pet_m1"] == 80.0
     with pytest.raises(ValueError):
         features.offline(fct, wells, JAN, mode="other")
 

@@ -10,7 +10,7 @@ import rows
 from mensura.operators import load, versions
 from mensura.schemas import BRONZE_POZOS, BRONZE_PRODUCCION, LOAD_METADATA
 from mensura.session import scratch, shared_root
-from mensura.sources.csv import scan_csv
+from mensura.sources.csv import scan_csv, scan_csv_files
 from mensura.sources.files import file_fingerprints, read_table
 from mensura.streaming.landing import merge_landing
 
@@ -51,14 +51,15 @@ def test_period_filter_bounds(spark):
 def test_load_window():
     interval = (dt.date(2024, 5, 1), dt.date(2024, 6, 1))
     assert load.load_window(None, None, interval) == (dt.date(2024, 5, 1), dt.date(2024, 5, 31))
-    assert load.load_window(*load.DEFAULT_WINDOW, interval) == load.DEFAULT_WINDOW
+    named = (dt.date(2023, 1, 1), dt.date(2024, 12, 31))
+    assert load.load_window(*named, interval) == load.load_window(*named) == named
+    assert load.load_window(None, None) == (None, None)
 
 
 def test_metadata_and_fingerprint(spark, drop):
     expected = hashlib.md5(open(drop, "rb").read()).hexdigest()
     sums = file_fingerprints(spark, drop)
     assert sums.first()["md5"] == expected
-    assert file_fingerprints(spark, drop, whole_below=0).first()["md5"] == expected
     loaded = load.with_load_metadata(scan_csv(spark, drop, BRONZE_PRODUCCION, with_file=True), "http://x", "b1", "full", sums)
     row = loaded.first()
     assert (row["_source_file"], row["_file_md5"], row["_load_type"]) == ("produccion.csv", expected, "full")
@@ -77,7 +78,7 @@ def test_merge_replaces_only_its_periods(spark, tmp_path):
     load.merge_by_period(rows.produccion(spark, rows.GREEN), path)
     load.merge_by_period(rows.produccion(spark, rows.GREEN[1:2], prod_pet=1.0), path)
     found = sorted((r["idpozo"], r["mes"], r["prod_pet"]) for r in bronze(spark, path).collect())
-    assert found == [(1, 1, 100.5), (1, 2, 1.0), (2, 1, 200.0), (3, 1, 10.0)]
+    assert found == [(1, 1, 64.0), (1, 2, 1.0), (2, 1, 320.0), (3, 1, 12.5)]
     assert dict(bronze(spark, path).dtypes)["anio"] == "bigint"
 
 
@@ -144,7 +145,7 @@ def test_stream_of_deliveries_equals_the_batch(spark, tmp_path):
     later = [(*rows.GREEN[1][:4], 1.0, *rows.GREEN[1][5:]), (*rows.GREEN[3][:4], 2.0, *rows.GREEN[3][5:])]
     deliver("2", later)
     run()
-    expected = [(1, 1, 100.5), (1, 2, 1.0), (2, 1, 200.0), (2, 2, 2.0), (3, 1, 10.0)]
+    expected = [(1, 1, 64.0), (1, 2, 1.0), (2, 1, 320.0), (2, 2, 2.0), (3, 1, 12.5)]
 
     def state():
         return sorted((r["idpozo"], r["mes"], r["prod_pet"]) for r in bronze(spark, target).collect())
@@ -154,10 +155,28 @@ def test_stream_of_deliveries_equals_the_batch(spark, tmp_path):
     assert state() == expected
     deliver("3", [(*later[0][:4], 7.0, *later[0][5:])])
     run()
-    assert state() == [(1, 1, 100.5), (1, 2, 7.0), (2, 1, 200.0), (3, 1, 10.0)]
+    assert state() == [(1, 1, 64.0), (1, 2, 7.0), (2, 1, 320.0), (3, 1, 12.5)]
 
 
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert shared_root(spark) == named
     assert scratch(spark, "x").startswith(named) and scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_fingerprints_find_files_with_odd_names(spark, tmp_path):
+    folder = tmp_path / "mi carpeta ñandú"
+    folder.mkdir()
+    (folder / "un archivo é.csv").write_text(CSV, encoding="utf-8")
+    loaded = load.with_load_metadata(
+        scan_csv(spark, str(folder), BRONZE_PRODUCCION, with_file=True), "x", "b", "merge", file_fingerprints(spark, str(folder))
+    )
+    assert {r["_file_md5"] for r in loaded.collect()} == {hashlib.md5(CSV.encode()).hexdigest()}
+
+
+def test_files_with_different_headers_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("idpozo,anio,mes,prod_pet\n1,2019,1,5\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text('mes,prod_pet,idpozo,anio,empresa\n2,7,2,2026,"Uno\nDos"\n', encoding="utf-8")
+    found = rows.as_dicts(scan_csv_files(spark, [str(tmp_path / "a b.csv"), str(tmp_path / "c.csv")], BRONZE_PRODUCCION, multiline=True), "idpozo")
+    assert [(found[i]["anio"], found[i]["mes"], found[i]["prod_pet"]) for i in (1, 2)] == [(2019, 1, 5.0), (2026, 2, 7.0)]
+    assert found[2]["empresa"] == "Uno\nDos" and found[1]["empresa"] is None

@@ -184,3 +184,12 @@ def test_all_rules_at_once(spark):
     spans = rows.as_dicts(mon.alert_episodes(states, MINUTE), "alert")
     assert spans["ServicioCaido"]["started_at"] == T0 + dt.timedelta(minutes=1)
     assert spans["MemoriaAltaSostenida"]["started_at"] == T0 + dt.timedelta(minutes=5)
+
+
+def test_newest_values_and_online_check_do_not_sort(spark, layers):
+    from mensura.plans import quality
+
+    gauges = ts.last_values(spark.createDataFrame([("x", 1, 2.0)], "i string, ts int, value double"), ["i"])
+    differs = quality.online_differs(layers["feat_produccion_online"], layers["feat_produccion_offline"])
+    for df in (gauges, differs):
+        assert "SortAggregate" not in rows.formatted_plan(df)

@@ -21,15 +21,15 @@ def star_of(layers):
 def test_by_month(layers):
     found = rows.as_dicts(reads.by_month(layers["fct_produccion"], layers["dim_tiempo"]), "fecha_mes")
     got = [tuple(round(found[dt.date(2024, m, 1)][c], 6) for c in ("total_petroleo", "total_gas", "total_agua")) for m in (1, 2)]
-    assert got == [(310.5, 175.2, 17.1), (285.0, 166.0, 17.0)]
+    assert got == [(396.5, 180.5, 15.0), (380.0, 172.0, 12.0)]
 
 
 def test_top_operators_and_basins(layers):
     top = reads.top_empresas(layers["fct_produccion"], layers["dim_empresa"]).collect()
-    assert [(r[0], round(r[1], 6), round(r[2], 6)) for r in top] == [("EMP2", 390.0, 238.0), ("EMP1", 205.5, 103.2)]
+    assert [(r[0], round(r[1], 6), round(r[2], 6)) for r in top] == [("C11", 620.0, 294.0), ("C07", 156.5, 58.5)]
     assert len(reads.top_empresas(layers["fct_produccion"], layers["dim_empresa"], n=1).collect()) == 1
     basin = reads.by_cuenca(layers["fct_produccion"], layers["dim_area"]).collect()
-    assert [(r[0], round(r[1], 6), round(r[2], 6)) for r in basin] == [("Neuquina", 595.5, 341.2)]
+    assert [(r[0], round(r[1], 6), round(r[2], 6)) for r in basin] == [("Cuyana", 776.5, 352.5)]
 
 
 def test_unreported_operator_tops_the_list(spark):
@@ -44,7 +44,7 @@ def test_production_list(layers):
     assert [(r["fecha_mes"], r["idpozo"]) for r in found] == [
         ("2024-02-01", "1"), ("2024-02-01", "2"), ("2024-01-01", "1"), ("2024-01-01", "2"), ("2024-01-01", "3"),
     ]
-    assert len(found[0]) == 11 and found[1]["empresa"] == "Empresa Dos" and found[1]["area_yacimiento"] == "Fortin de Piedra"
+    assert len(found[0]) == 11 and found[1]["empresa"] == "Gas del Oeste" and found[1]["area_yacimiento"] == "Cerro Alto"
     assert [r["idpozo"] for r in reads.produccion(*star_of(layers), limit=2, offset=1).collect()] == ["2", "1"]
     assert reads.produccion(*star_of(layers), idpozo="2").count() == 2
     assert reads.produccion(*star_of(layers), anio=1999).count() == 0
@@ -65,9 +65,9 @@ def test_page_limits(layers):
 
 
 def test_wells(layers):
-    assert [r["idpozo"] for r in reads.pozos(layers["dim_pozo"], cuenca="Neuquina").collect()] == ["1", "2", "3"]
+    assert [r["idpozo"] for r in reads.pozos(layers["dim_pozo"], cuenca="Cuyana").collect()] == ["1", "2", "3"]
     well = reads.pozo(layers["dim_pozo"], "1", required=True).first()
-    assert well["sigla"] == "AB.x-1" and len(well) == 8
+    assert well["sigla"] == "PS.n-1" and len(well) == 8
     with pytest.raises(reads.NotFound):
         reads.pozo(layers["dim_pozo"], "999", required=True)
 
@@ -94,4 +94,4 @@ def test_forecast_series(forecasts):
 
 def test_control_totals(layers):
     one = reads.control_totals(layers["fct_produccion"], anio=2024, mes=1).collect()
-    assert len(one) == 1 and one[0]["filas"] == 3 and round(one[0]["total_petroleo"], 6) == 310.5
+    assert len(one) == 1 and one[0]["filas"] == 3 and round(one[0]["total_petroleo"], 6) == 396.5

@@ -1,6 +1,7 @@
 import datetime as dt
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from mensura.operators import timeseries as ts
@@ -31,7 +32,7 @@ def run(spark, df, tmp_path, name):
 
 def test_stream_in_batches_equals_the_batch(spark, sf_dir, tmp_path):
     log = request_files(spark, sf_dir, str(tmp_path / "log"), 4)
-    stream = rates.read_stream(spark, str(tmp_path / "log"), "*.parquet", log.schema, files_per_trigger=1)
+    stream = rates.read_stream(spark, str(tmp_path / "log"), files_per_trigger=1)
     got = run(spark, rates.rate_by_label(stream, ["endpoint"], 3 * HOUR, HOUR, watermark=2 * 86400), tmp_path, "rates")
     last = log.agg(F.max("ts")).first()[0] - dt.timedelta(days=2)
     expected = ts.event_rate(log, ["endpoint"], 3 * HOUR, HOUR).filter(F.col("window_end") <= F.lit(last))
@@ -68,7 +69,7 @@ def test_late_rows_are_counted_within_the_watermark(spark, tmp_path):
         spark.createDataFrame(made, schema).coalesce(1).write.mode("append").parquet(folder)
 
     def ratios():
-        stream = rates.read_stream(spark, folder, "*.parquet", schema)
+        stream = rates.read_stream(spark, folder)
         return run(spark, rates.error_ratio(stream, HOUR, HOUR, 1800), tmp_path, "ratios")
 
     arrive(0, 1, 2, 65)
@@ -85,7 +86,23 @@ def test_uptime_stream(spark, tmp_path):
     made = [(t0 + dt.timedelta(minutes=m), 0.0 if m == 7 else 1.0) for m in [*range(0, 60, 1), 180]]
     up = spark.createDataFrame(made, "ts timestamp, value double")
     up.write.parquet(folder)
-    stream = rates.read_stream(spark, folder, "*.parquet", up.schema)
+    stream = rates.read_stream(spark, folder)
     got = run(spark, rates.uptime(stream, HOUR, HOUR, 600), tmp_path, "uptime").collect()
     expected = mon.uptime(up, HOUR, HOUR).filter(F.col("window_start") == F.lit(t0)).first()["uptime_pct"]
     assert [r["uptime_pct"] for r in got] == [expected]
+
+
+def test_a_table_of_part_files_gives_what_one_file_gives(spark, tmp_path, sf_dir):
+    from mensura.registry import queries
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_rate_by_label", "stream_uptime"):
+        one, many = (sorted(map(str, queries()[name](spark, d).collect())) for d in (sf_dir, str(tmp_path)))
+        assert one and one == many
+
+
+def test_a_stream_over_nothing_raises(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(Exception):  # noqa: B017, PT011 - Spark's own error or ours
+        rates.read_stream(spark, str(tmp_path / "empty"))
