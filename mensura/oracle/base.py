@@ -1,6 +1,5 @@
 """Shared statements: one named SQL table per layer."""
 
-from mensura.plans import features
 from mensura.schemas import (
     DIM_POZO,
     FCT_PRODUCCION,
@@ -37,11 +36,36 @@ def _frame(months):
 
 
 _w = "OVER (PARTITION BY idpozo ORDER BY fecha_mes)"
-_history = {name: f"lag({m}, {k}) {_w}" for name, (m, k) in features.LAGS.items()}
-_history |= {name: f"round(avg({m}) {_frame(k)}, 6)" for name, (m, k) in features.MEANS.items()}
-_history |= {name: f"round(stddev_samp({m}) {_frame(k)}, 6)" for name, (m, k) in features.STDS.items()}
-_history |= {label: f"lead({m}, 1) {_w}" for m, label in features.NEXT.items()}
-_history["meses_en_produccion"] = f"row_number() {_w}"
+# Spelled here once more, not taken from the engine: a wrong lag there must show.
+INPUTS = ("prod_pet", "prod_gas", "prod_agua", "iny_agua", "iny_gas", "tef")
+STATIC = ("cuenca", "provincia", "formacion_productiva", "tipo_reservorio", "profundidad")
+CURRENT = """prod_pet AS prod_pet_lag0, prod_gas AS prod_gas_m, prod_agua AS prod_agua_m,
+    iny_agua AS iny_agua_m, iny_gas AS iny_gas_m, tef AS tef_m"""
+LAGS = {
+    "prod_pet_lag1": f"lag(prod_pet, 1) {_w}",
+    "prod_pet_lag2": f"lag(prod_pet, 2) {_w}",
+    "prod_pet_lag3": f"lag(prod_pet, 3) {_w}",
+    "prod_pet_lag12": f"lag(prod_pet, 12) {_w}",
+    "prod_gas_lag1": f"lag(prod_gas, 1) {_w}",
+    "prod_gas_lag2": f"lag(prod_gas, 2) {_w}",
+    "prod_gas_lag3": f"lag(prod_gas, 3) {_w}",
+}
+MEANS = {
+    "prod_pet_ma3": f"round(avg(prod_pet) {_frame(3)}, 6)",
+    "prod_pet_ma6": f"round(avg(prod_pet) {_frame(6)}, 6)",
+    "prod_pet_ma12": f"round(avg(prod_pet) {_frame(12)}, 6)",
+    "prod_gas_ma3": f"round(avg(prod_gas) {_frame(3)}, 6)",
+    "tef_ma3": f"round(avg(tef) {_frame(3)}, 6)",
+}
+STDS = {
+    "prod_pet_std3": f"round(stddev_samp(prod_pet) {_frame(3)}, 6)",
+    "prod_pet_std6": f"round(stddev_samp(prod_pet) {_frame(6)}, 6)",
+}
+LABELS = {
+    "target_prod_pet_m1": f"lead(prod_pet, 1) {_w}",
+    "target_prod_gas_m1": f"lead(prod_gas, 1) {_w}",
+}
+_history = {**LAGS, **MEANS, **STDS, **LABELS, "meses_en_produccion": f"row_number() {_w}"}
 
 
 def history(names) -> str:
@@ -49,7 +73,7 @@ def history(names) -> str:
 
 
 def feature_table(source: str, where: str = "TRUE") -> str:
-    own = [c for c in FEAT_OFFLINE.names if c not in (*features.STATIC, "mes", "trimestre", "feature_set_version")]
+    own = [c for c in FEAT_OFFLINE.names if c not in (*STATIC, "mes", "trimestre", "feature_set_version")]
     ratios = {
         "prod_pet_delta1": "prod_pet_lag0 - prod_pet_lag1",
         "prod_pet_pct1": "round((prod_pet_lag0 - prod_pet_lag1) / nullif(prod_pet_lag1, 0), 6)",
@@ -58,14 +82,14 @@ def feature_table(source: str, where: str = "TRUE") -> str:
     picked = [f"{ratios[c]} AS {c}" if c in ratios else f"f.{c}" for c in own]
     picked += ["CAST(month(f.fecha_mes) AS INTEGER) AS mes", "CAST(quarter(f.fecha_mes) AS INTEGER) AS trimestre"]
     picked += ["'v1' AS feature_set_version"]
-    picked += [f"d.{c}" for c in features.STATIC]
+    picked += [f"d.{c}" for c in STATIC]
     return f"SELECT {comma(picked)} FROM {source} f JOIN dp d ON d.pozo_sk = f.pozo_sk WHERE {where}"
 
 
 def panel_table(fact: str) -> str:
     return f"""
     SELECT md5(CAST(r.idpozo AS VARCHAR)) AS pozo_sk, r.idpozo, t.tiempo_sk, t.fecha_mes,
-           {comma('p.' + m for m in features.INPUTS)}
+           {comma('p.' + m for m in INPUTS)}
     FROM (SELECT idpozo, min(fecha_mes) AS lo, max(fecha_mes) AS hi FROM {fact} GROUP BY idpozo) r
     JOIN dt t ON t.fecha_mes BETWEEN r.lo AND r.hi
     LEFT JOIN {fact} p ON p.idpozo = r.idpozo AND p.tiempo_sk = t.tiempo_sk"""
@@ -74,7 +98,7 @@ def panel_table(fact: str) -> str:
 def base_table(panel: str) -> str:
     return f"""
     SELECT pozo_sk, idpozo, tiempo_sk, fecha_mes,
-           {comma(f'{m} AS {n}' for m, n in features.CURRENT.items())}, {history(_history)}
+           {CURRENT}, {history(_history)}
     FROM {panel}"""
 
 

@@ -1,7 +1,6 @@
 """SQL of the silver, star, feature store and read queries."""
 
-from mensura.oracle.base import CUT, MONTH, PLACE, feature_table, history, sql
-from mensura.plans import features
+from mensura.oracle.base import CUT, LABELS, LAGS, MEANS, MONTH, PLACE, STDS, feature_table, history, sql
 
 _wells = (
     "CAST(idpozo AS VARCHAR) AS idpozo, sigla, formacion_productiva, area_yacimiento, cuenca, provincia, "
@@ -36,11 +35,11 @@ def layers() -> dict[str, str]:
             "SELECT idpozo, min(fecha_mes) AS desde, max(fecha_mes) AS hasta FROM fp GROUP BY idpozo", "fp"
         ),
         "panel_dense": sql("SELECT * FROM pd", "pd"),
-        "feat_lags": sql(f"SELECT idpozo, fecha_mes, {history(features.LAGS)} FROM pd", "pd"),
-        "feat_moving_avg": sql(f"SELECT idpozo, fecha_mes, {history(features.MEANS)} FROM pd", "pd"),
-        "feat_moving_std": sql(f"SELECT idpozo, fecha_mes, {history(features.STDS)} FROM pd", "pd"),
+        "feat_lags": sql(f"SELECT idpozo, fecha_mes, {history(LAGS)} FROM pd", "pd"),
+        "feat_moving_avg": sql(f"SELECT idpozo, fecha_mes, {history(MEANS)} FROM pd", "pd"),
+        "feat_moving_std": sql(f"SELECT idpozo, fecha_mes, {history(STDS)} FROM pd", "pd"),
         "feat_age": sql(f"SELECT idpozo, fecha_mes, {history(['meses_en_produccion'])} FROM pd", "pd"),
-        "feat_targets": sql(f"SELECT idpozo, fecha_mes, {history(features.NEXT.values())} FROM pd", "pd"),
+        "feat_targets": sql(f"SELECT idpozo, fecha_mes, {history(LABELS)} FROM pd", "pd"),
         "feat_ratios": sql(
             """SELECT idpozo, fecha_mes, prod_pet_lag0 - prod_pet_lag1 AS prod_pet_delta1,
                round((prod_pet_lag0 - prod_pet_lag1) / nullif(prod_pet_lag1, 0), 6) AS prod_pet_pct1,

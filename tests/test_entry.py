@@ -54,3 +54,10 @@ def test_entry_works_without_the_optional_folder(tmp_path):
         "assert 'pipeline' not in e.queries() and 'feat_offline' in e.queries() and len(e.oracle_sql()) > 70"
     )
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+
+
+def test_a_wrong_lag_in_the_engine_turns_its_row_red(spark, sf_dir, monkeypatch):
+    from mensura.plans import features
+
+    monkeypatch.setitem(features.LAGS, "prod_pet_lag2", ("prod_pet", 3))
+    assert compare.difference(entry.queries()["feat_lags"](spark, sf_dir), compare.duck(sf_dir), entry.oracle_sql()["feat_lags"])
