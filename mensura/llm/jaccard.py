@@ -12,7 +12,8 @@ whole sequence where it has fewer words.  Two texts link if
   Texts with equal sets are one class; classes with equal prefix and size are
   one group, and only groups meet in the lists of a shingle.
 * Pairs of groups pass by size and by what can still follow the common shingle;
-  they are then expanded to their classes and verified on the whole sets.
+  they are then expanded to their classes, which pass by the parities of their
+  shingles' hashes, a bound that no link breaks, and are verified on whole sets.
 * Texts that are already in one component need no further test.  So the lists are
   walked in rounds: a round proposes a few partners for each group, in other
   components; the links found join components; the next round may propose twice
@@ -41,7 +42,8 @@ from mensura.llm.components import components, stored
 
 SHINGLE = 5
 SHARE = 80  # percent
-HEAVY = 1 << 16
+HEAVY, COUNTED = 1 << 16, 4 << 20  # shingles kept in a summary, and counted at once
+BITS = 2048  # of a set's parities
 BLOCK = 4096
 MOST = 1 << 20  # rows of a batch that a task handles at once
 
@@ -57,7 +59,8 @@ def block_sets(block: tx.Block) -> tuple[np.ndarray, np.ndarray]:
         if len(few):
             whole, _, _ = tx.windows(words[(first[few][:, None] + np.arange(n)).ravel()], np.arange(0, n * len(few) + 1, n), n)
             h, of = np.append(h, tx.mix(whole + np.uint64(n))), np.append(of, few)
-    return tx.distinct_pairs(of, h)
+    order = np.argsort(of, kind="stable")
+    return tx.distinct_pairs(of[order], h[order])
 
 
 def least_common(a, b):
@@ -69,19 +72,29 @@ def least_common(a, b):
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Summary of a task's shingles: counts of at most HEAVY of them, less what was let go."""
+    """Summary of a task's shingles: counts of the HEAVY most frequent of those that some millions hold more than once."""
     keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    held: list[np.ndarray] = []
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        u, c = np.unique(np.concatenate(held), return_counts=True)
+        both = np.concatenate([keys, u[c > 1]])
+        found, at = np.unique(both, return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate([counts, c[c > 1]]), minlength=len(found)).astype(np.int64)
+        if len(found) > HEAVY:
+            top = np.sort(np.argpartition(total, len(total) - HEAVY)[len(total) - HEAVY :])
+            found, total = found[top], total[top]
+        return found, total
+
     for batch in batches:
         for block in tx.blocks(batch, lower=True):
-            _, h = block_sets(block)
-            u, c = np.unique(h, return_counts=True)
-            keys, at = np.unique(np.concatenate([keys, u]), return_inverse=True)
-            counts = np.bincount(at, weights=np.concatenate([counts, c]), minlength=len(keys)).astype(np.int64)
-            if len(keys) > HEAVY:
-                counts -= np.partition(counts, len(counts) - HEAVY - 1)[len(counts) - HEAVY - 1]
-                keys, counts = keys[counts > 0], counts[counts > 0]
-    keep = counts > 1
-    yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(counts[keep])], names=["h", "n"])
+            held.append(block_sets(block)[1])
+            if sum(map(len, held)) > COUNTED:
+                keys, counts = merged()
+                held = []
+    if held:
+        keys, counts = merged()
+    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "n"])
 
 
 def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -93,12 +106,39 @@ def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return h[order].copy(), n[order].copy()
 
 
-def ranked(h: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Frequency of each shingle in the summary, 0 for those it does not hold."""
-    if not len(heavy):
-        return np.zeros(len(h), np.int64)
-    at = np.minimum(np.searchsorted(heavy, h), len(heavy) - 1)
-    return np.where(heavy[at] == h, counts[at], 0)
+class Order:
+    """The common order of shingles: frequent ones last, by their count, then all by their hash."""
+
+    def __init__(self, heavy: np.ndarray, counts: np.ndarray):
+        self.heavy, self.counts = heavy, counts
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(heavy >> np.uint64(44)).astype(np.int64)] = True
+
+    def rank(self, h: np.ndarray) -> np.ndarray:
+        """Count of each shingle in the summary, 0 for those it does not hold."""
+        out = np.zeros(len(h), np.int64)
+        some = np.flatnonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.heavy, h[some]), len(self.heavy) - 1)
+            out[some] = np.where(self.heavy[at] == h[some], self.counts[at], 0)
+        return out
+
+    def arranged(self, of: np.ndarray, h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The sets in the common order; they come sorted by hash within each text."""
+        rank = self.rank(h)
+        light = rank == 0
+        if light.all():
+            return h
+        out = np.empty_like(h)
+        before = np.concatenate([[0], np.cumsum(light)])
+        n_light = before[bounds[1:]] - before[bounds[:-1]]
+        own = np.flatnonzero(light)
+        out[bounds[of[own]] + np.arange(len(own)) - before[bounds[of[own]]]] = h[own]
+        heavy = np.flatnonzero(~light)
+        heavy = heavy[np.lexsort((h[heavy], rank[heavy], of[heavy]))]
+        first = bounds[of[heavy]] - before[bounds[of[heavy]]]  # heavy ones of the texts before
+        out[bounds[of[heavy]] + n_light[of[heavy]] + np.arange(len(heavy)) - first] = h[heavy]
+        return out
 
 
 # --- classes, groups and prefixes ----------------------------------------------------------
@@ -113,8 +153,18 @@ def folded(values: np.ndarray, bounds: np.ndarray, seed: int) -> np.ndarray:
     return tx.mix((total[bounds[1:]] - total[bounds[:-1]]) ^ np.diff(bounds).astype(np.uint64))
 
 
-def _prefixes(heavy: np.ndarray, counts: np.ndarray, carry: tuple[str, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size, class and group of each row, and the prefix of each group once a task."""
+def parities(of: np.ndarray, h: np.ndarray, texts: int) -> list[bytes]:
+    """For each set, which of `BITS` classes of hashes have an odd number of its shingles.
+
+    Two such patterns differ in no more places than the sets have shingles that
+    only one of them holds.
+    """
+    cells = np.bincount(of * BITS + (h & np.uint64(BITS - 1)).astype(np.int64), minlength=texts * BITS)
+    return [row.tobytes() for row in np.packbits((cells & 1).astype(bool).reshape(texts, BITS), axis=1)]
+
+
+def _prefixes(order: Order, carry: tuple[str, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size, class, group and parities of each row, and the prefix of each group once a task."""
     seen: set[int] = set()
     for batch in batches:
         for block in tx.blocks(batch, "__text", lower=True):
@@ -122,10 +172,9 @@ def _prefixes(heavy: np.ndarray, counts: np.ndarray, carry: tuple[str, ...], bat
             sizes = np.bincount(of, minlength=len(block))
             bounds = np.concatenate([[0], np.cumsum(sizes)])
             cid = folded(h, bounds, 1)
-            order = np.lexsort((h, ranked(h, heavy, counts), of))
             length = np.where(sizes > 0, sizes + (-SHARE * sizes) // 100 + 1, 0)
             place = np.arange(len(h)) - np.repeat(bounds[:-1], sizes)
-            first = h[order][place < np.repeat(length, sizes)]
+            first = order.arranged(of, h, bounds)[place < np.repeat(length, sizes)]
             own = np.concatenate([[0], np.cumsum(length)])
             gid = folded(first, own, 2) ^ tx.mix(sizes.astype(np.uint64))
             prefixes = []
@@ -135,12 +184,12 @@ def _prefixes(heavy: np.ndarray, counts: np.ndarray, carry: tuple[str, ...], bat
                 if new:
                     seen.add(g)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).slice(block.lo, len(block)) for c in carry), pa.array(sizes), pa.array(cid.view(np.int64)), pa.array(gid.view(np.int64)), pa.array(prefixes, pa.binary())],
-                names=[*carry, "n", "cid", "gid", "prefix"],
+                [*(batch.column(c).slice(block.lo, len(block)) for c in carry), pa.array(sizes), pa.array(cid.view(np.int64)), pa.array(gid.view(np.int64)), pa.array(parities(of, h, len(block)), pa.binary()), pa.array(prefixes, pa.binary())],
+                names=[*carry, "n", "cid", "gid", "parity", "prefix"],
             )
 
 
-def _postings(heavy: np.ndarray, counts: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _postings(order: Order, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 4096):
             part = batch.slice(lo, 4096)
@@ -150,7 +199,7 @@ def _postings(heavy: np.ndarray, counts: np.ndarray, batches: Iterator[pa.Record
             gid = np.repeat(part.column("gid").to_numpy(), sizes)
             n = np.repeat(part.column("n").to_numpy(), sizes)
             place = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            blocks = np.maximum(1, -(-ranked(h, heavy, counts) // BLOCK))
+            blocks = np.maximum(1, -(-order.rank(h) // BLOCK))
             salt = (tx.mix(gid.view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), pa.array(salt), pa.array(blocks.astype(np.int32)), pa.array(gid), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32))],
@@ -259,19 +308,30 @@ def _propose(most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def _sets(packed: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets of the classes that the filter lets through, each class once a task."""
+    """Sets of the texts that the filter lets through, each class once a task."""
     table, seen = bloom.unpacked(packed), set()
     for batch in batches:
+        batch = batch.filter(pa.array(bloom.may_hold(table, batch.column("key").to_numpy().view(np.uint64))))
         for block in tx.blocks(batch, lower=True):
             of, h = block_sets(block)
             bounds = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(block)))])
             cid = folded(h, bounds, 1)
-            keep = [i for i in np.flatnonzero(bloom.may_hold(table, cid) & (np.diff(bounds) > 0)).tolist() if not (cid[i] in seen or seen.add(cid[i]))]
+            keep = [i for i in np.flatnonzero(np.diff(bounds) > 0).tolist() if not (cid[i] in seen or seen.add(cid[i]))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cid[keep].view(np.int64)), pa.array([h[bounds[i] : bounds[i + 1]].tobytes() for i in keep], pa.binary())], names=["cid", "shingles"]
             )
 
 
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose parities leave room for a link."""
+    for batch in batches:
+        if batch.num_rows:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BITS // 8) for c in ("x", "y"))
+            nx, ny = batch.column("nx").to_numpy(), batch.column("ny").to_numpy()
+            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= nx + ny - 2 * least_common(nx, ny)))
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -315,12 +375,14 @@ def links(spark: SparkSession, texts: DataFrame, classes: DataFrame, lists: Data
         member = rooted.select("gid", "cid", "root")
         by_group = pairs.where("kind = 0").join(member.withColumnsRenamed({"gid": "a", "cid": "p", "root": "p_root"}), "a")
         by_group = by_group.join(member.withColumnsRenamed({"gid": "b", "cid": "q", "root": "q_root"}), "b").where("p_root <> q_root").select(F.col("p").alias("a"), F.col("q").alias("b"))
-        expanded = stored(by_group.unionByName(pairs.where("kind = 1").select("a", "b")).distinct(), "pairs")
+        expanded = by_group.unionByName(pairs.where("kind = 1").select("a", "b")).distinct()
+        signs = classes.select("cid", F.col("n").cast("long").alias("n"), "parity")
+        signed = expanded.join(signs.withColumnsRenamed({"cid": "a", "n": "nx", "parity": "x"}), "a").join(signs.withColumnsRenamed({"cid": "b", "n": "ny", "parity": "y"}), "b")
+        expanded = stored(signed.mapInArrow(_plausible, "a long, b long"), "pairs")
         if not expanded.isEmpty():
-            wanted = expanded.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-            table = bloom.packed(bloom.collect(wanted, "cid"))
-            sets = texts.mapInArrow(partial(_sets, table), "cid long, shingles binary").dropDuplicates(["cid"])
-            sets = stored(sets.join(wanted, "cid", "left_semi"), "sets")
+            wanted = classes.select("cid", "key").join(expanded.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid")
+            table = bloom.packed(bloom.collect(wanted, "key"))
+            sets = texts.mapInArrow(partial(_sets, table), "cid long, shingles binary").join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
             left = expanded.join(sets.withColumnsRenamed({"cid": "a", "shingles": "x"}), "a")
             both = left.join(sets.withColumnsRenamed({"cid": "b", "shingles": "y"}), "b")
             new = stored(both.mapInArrow(_linked, "a long, b long"), "linked")
@@ -336,21 +398,24 @@ def joined(spark: SparkSession, documents: DataFrame, carry: tuple[str, ...] = (
 
     doc_id must be among the carried columns.
     """
-    texts = documents.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    heavy, counts = frequent(texts)
-    rows = documents.select(*carry, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
-    schema = documents.select(*carry).schema.add("n", "long").add("cid", "long").add("gid", "long").add("prefix", "binary")
-    table = stored(rows.mapInArrow(partial(_prefixes, heavy, counts, carry), schema), "prefixes")
-    classes = stored(table.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first("gid").alias("gid"), F.first("n").alias("n")), "classes")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = documents.select(text.alias("text"), F.xxhash64(text).alias("key"))
+    order = Order(*frequent(texts))
+    carried = (*carry, "key")
+    rows = documents.select(*carry, F.xxhash64(text).alias("key"), text.alias("__text"))
+    schema = rows.select(*carried).schema.add("n", "long").add("cid", "long").add("gid", "long").add("parity", "binary").add("prefix", "binary")
+    table = stored(rows.mapInArrow(partial(_prefixes, order, carried), schema), "prefixes")
+    per_class = [F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("gid", "n", "parity", "key"))]
+    classes = stored(table.where("n > 0").groupBy("cid").agg(*per_class), "classes")
     postings = table.where("prefix is not null").select("gid", "n", "prefix").mapInArrow(
-        partial(_postings, heavy, counts), "token long, salt int, blocks int, gid long, n int, place int"
+        partial(_postings, order), "token long, salt int, blocks int, gid long, n int, place int"
     )
     lists = postings.repartition("token", "salt").sortWithinPartitions("token", "gid").mapInArrow(_shared, postings.schema)
     home = links(spark, texts, classes, lists)
     rooted = classes.join(home, F.col("cid") == F.col("v"), "left").select("cid", "doc_id", F.coalesce("root", "cid").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     ids = rooted.join(least, "root").select(F.col("cid").alias("c"), "root", "component_id")
-    return table.drop("gid", "prefix").join(ids, (F.col("cid") == F.col("c")) & (F.col("n") > 0), "left").select(
+    return table.select(*carry, "n", "cid").join(ids, (F.col("cid") == F.col("c")) & (F.col("n") > 0), "left").select(
         *carry, F.col("n").alias("n_shingles"), "cid", "root", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 

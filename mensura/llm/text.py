@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 LANES = 32  # spans of up to 8 * LANES bytes are hashed array-wise, longer ones one by one
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -131,12 +131,15 @@ def windows(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 
 
 def distinct_pairs(text: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, hash) pairs, sorted by text, then hash."""
-    order = np.lexsort((h, text))
-    text, h = text[order], h[order]
+    """Distinct (text, hash) pairs, sorted by text, then hash.  `text` must not fall."""
+    h = h.copy()
     if len(h):
         new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+        new[1:] = text[1:] != text[:-1]
+        bounds = np.flatnonzero(new).tolist()
+        for a, b in zip(bounds, [*bounds[1:], len(h)], strict=True):
+            h[a:b].sort()
+        new[1:] |= h[1:] != h[:-1]
         text, h = text[new], h[new]
     return text, h
 
