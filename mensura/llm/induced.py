@@ -24,7 +24,7 @@ import tempfile
 import numpy as np
 
 BLOCK = 1 << 18  # tuples handled at once
-IN_MEMORY = 1 << 23  # tuples that all queues of a phase keep in memory
+IN_MEMORY = 1 << 21  # tuples that all queues of a phase keep in memory
 DIRECT = 1 << 21  # texts of up to so many symbols are ordered by doubling
 
 
@@ -360,7 +360,6 @@ def induced(text: np.ndarray, cap: int, direct: int = DIRECT, folder: str | None
             last = int(at[-1])
         seam = 0
         largest = True
-        own: list[tuple[np.ndarray, np.ndarray]] = []
         for at, lcp, after in kept.backwards(c):
             lcp = lcp.copy()
             if largest:

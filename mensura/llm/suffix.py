@@ -39,7 +39,7 @@ from mensura.llm.components import stored
 
 LENGTH = 400
 HOT = 2048
-SHARD_BYTES = 4 << 20  # bytes of a shard to aim at; one of any size is sorted
+SHARD_BYTES = 2 << 20  # bytes of a shard to aim at; one of any size is sorted
 SCAN_BYTES = 1 << 20
 
 #: Symbols of bytes: 0 parts segments, and the values that UTF-8 never has make room for it and for the sorter's end.
@@ -51,7 +51,23 @@ SYMBOL[0xF5:] = np.minimum(np.arange(0xF6, 0x101), 0xFE)
 
 
 def gram_length(length: int) -> int:
-    return max(1, length * 4 // 25)
+    """Bytes of a gram, about a sixth of the length: up to 8, or 8 times a power of two."""
+    wanted = max(1, length * 4 // 25)
+    return wanted if wanted < 8 else 8 << ((wanted // 8).bit_length() - 1)
+
+
+def gram_hashes(padded: np.ndarray, n: int, gram: int) -> np.ndarray:
+    """Hash of the gram at each of the first n bytes: halves are joined, and doubled, until they are long enough."""
+    h = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,)).copy()
+    if gram < 8:
+        return tx.mix(h[:n] & np.uint64((1 << (8 * gram)) - 1))
+    width = 8
+    while width < gram:
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+        h = h[: len(h) - width] * np.uint64(0xD6E8FEB86659FD93) + h[width:]
+        width *= 2
+    return tx.mix(h[:n])
 
 
 def segments(block: tx.Block, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -63,15 +79,7 @@ def segments(block: tx.Block, length: int) -> tuple[np.ndarray, np.ndarray, np.n
         return none, none, none, none.view(np.uint64)
     padded = np.zeros(n + gram + 8, np.uint8)
     padded[:n] = block.data[:n]
-    lanes = np.ndarray((n + gram,), "<u8", padded, strides=(1,)).copy()
-    h = np.zeros(n, np.uint64)
-    for j in range(0, gram, 8):
-        lane = lanes[j : j + n]
-        if gram - j < 8:
-            lane = lane & np.uint64((1 << (8 * (gram - j))) - 1)
-        h = (h ^ lane) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-    h = tx.mix(h)
+    h = gram_hashes(padded, n, gram)
     # The least hash of each window, the first of equals: hash above, place below.
     low = np.uint64(max(20, n.bit_length()))
     key = (h >> low << low) | np.arange(n, dtype=np.uint64)
@@ -83,14 +91,18 @@ def segments(block: tx.Block, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     onward = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].ravel()
     count = n - length + 1
     least = np.minimum(onward[:count], upto[reach - 1 : reach - 1 + count]) & np.uint64((1 << int(low)) - 1)
-    text = np.searchsorted(block.offsets, np.arange(count), side="right") - 1
-    fits = np.arange(count) + length <= block.offsets[text + 1]
+    sizes = np.diff(block.offsets)
+    text = np.repeat(np.arange(len(block), dtype=np.int32), sizes)[:count]
+    fits = np.ones(count, bool)
+    for end in block.offsets[1:-1].tolist():
+        fits[max(0, end - length + 1) : end] = False
     new = fits.copy()
     new[1:] &= (least[1:] != least[:-1]) | (text[1:] != text[:-1]) | ~fits[:-1]
     start = np.flatnonzero(new)
-    total = np.concatenate([[0], np.cumsum(fits)])
+    total = np.zeros(count + 1, np.int64)
+    np.cumsum(fits, out=total[1:])
     windows = np.diff(np.append(total[start], total[-1]))
-    return text[start], start, windows, h[least[start].astype(np.int64)]
+    return text[start].astype(np.int64), start, windows, h[least[start].astype(np.int64)]
 
 
 def _rows(batches: Iterator[pa.RecordBatch], length: int):
