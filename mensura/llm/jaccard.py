@@ -42,7 +42,7 @@ from mensura.llm.components import components, stored
 
 SHINGLE = 5
 SHARE = 80  # percent
-HEAVY, COUNTED = 1 << 16, 4 << 20  # shingles kept in a summary, and counted at once
+HEAVY, COUNTED = 1 << 16, 2 << 20  # shingles kept in a summary, and counted at once
 BITS = 2048  # of a set's parities
 BLOCK = 4096
 MOST = 1 << 20  # rows of a batch that a task handles at once

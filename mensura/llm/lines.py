@@ -98,7 +98,7 @@ def _suspects(packed: bytes, wanted: bool, batches: Iterator[pa.RecordBatch]) ->
     table = bloom.unpacked(packed)
     for batch in batches:
         keep = []
-        for block in tx.blocks(batch, "__text"):
+        for block in tx.blocks(tx.with_text(batch), "__text"):
             for i in range(len(block)):
                 h = np.array([halves(c[3])[0] for c in repeatable(block.text(i))[1]], np.int64).view(np.uint64)
                 keep.append(bool(len(h)) and bool(bloom.may_hold(table, h).any()))
@@ -106,7 +106,7 @@ def _suspects(packed: bytes, wanted: bool, batches: Iterator[pa.RecordBatch]) ->
 
 
 def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in map(tx.with_text, batches):
         texts, figures = [], []
         removed = batch.column("__removed").to_pylist()
         for block in tx.blocks(batch, "__text"):
@@ -151,13 +151,13 @@ def dedup(documents: DataFrame) -> DataFrame:
     """
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     gone, table = removals(documents.select(doc_id.alias("doc_id"), text.alias("text")))
-    rows = documents.select(F.struct(*documents.columns).alias("__row"), doc_id.alias("__id"), text.alias("__text"))
+    rows = documents.select(F.struct(*documents.columns).alias("__row"), doc_id.alias("__id"))
     suspects = rows.mapInArrow(partial(_suspects, table, True), rows.schema)
     others = rows.mapInArrow(partial(_suspects, table, False), rows.schema)
     per_text = gone.distinct().groupBy(F.col("doc_id").alias("__of")).agg(F.collect_list(F.struct("chunk", "h1", "h2")).alias("__removed"))
     kind = per_text.schema["__removed"].dataType
-    joined = suspects.join(per_text, F.col("__id") == F.col("__of"), "left").select("__row", "__text", "__removed")
-    whole = joined.unionByName(others.select("__row", "__text", F.lit(None).cast(kind).alias("__removed")))
+    joined = suspects.join(per_text, F.col("__id") == F.col("__of"), "left").select("__row", "__removed")
+    whole = joined.unionByName(others.select("__row", F.lit(None).cast(kind).alias("__removed")))
     schema = whole.select("__row").schema.add("__kept", "string").add("__lines", "long").add("__gone", "long").add("__chunks", "long")
     return whole.mapInArrow(_rebuilt, schema)
 

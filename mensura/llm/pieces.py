@@ -40,7 +40,7 @@ from mensura.session import scratch
 # Fixed value: the mark of a blank.
 BLANK = "▁"
 CHUNK = 64 << 10
-PAIRS, WORDS = 1 << 20, 1 << 19  # pairs of pieces and words that a task remembers
+PAIRS, WORDS = 1 << 18, 1 << 18  # pairs of pieces and words that a task remembers
 NEVER = -np.inf
 
 

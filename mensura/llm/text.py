@@ -65,6 +65,14 @@ def binary_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndar
     return (np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)), offsets
 
 
+def with_text(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with `__text`, taken from the rows themselves, so that a text does not travel twice."""
+    if "__text" in batch.schema.names:
+        return batch
+    row = batch.column("__row")
+    return pa.RecordBatch.from_arrays([*batch.columns, row.field("text")], names=[*batch.schema.names, "__text"])
+
+
 def blocks(batch: pa.RecordBatch, name: str = "text", size: int = BLOCK_BYTES, lower: bool = False) -> Iterator[Block]:
     """Runs of whole texts with about `size` bytes together; a longer text is a block of its own."""
     data, offsets = binary_column(batch, name)

@@ -106,20 +106,20 @@ def minimum(loss, x: np.ndarray) -> np.ndarray:
 
 def fit(labels: np.ndarray, grams: list[np.ndarray], prior: float) -> tuple[np.ndarray, float]:
     """Weights of all features and the intercept; `prior` is the share of toxic rows to expect."""
-    sizes = np.array([len(x) for x in grams])
-    flat = np.concatenate(grams).astype(np.int64)
     y = labels.astype(float)
-    rows = np.repeat(np.arange(len(y)), sizes)
     width = 1 << TABLE_BITS
-    pos, neg = np.bincount(flat[y[rows] == 1], minlength=width), np.bincount(flat[y[rows] == 0], minlength=width)
-    p, q = pos + ALPHA, neg + ALPHA
+    counts = np.zeros((2, width), np.int32)
+    for label, ids in zip(labels.tolist(), grams, strict=True):
+        counts[label][ids] += 1
+    p, q = counts[1] + ALPHA, counts[0] + ALPHA
     ratio = np.log((p / (y.sum() + 2 * ALPHA)) / (q / ((1 - y).sum() + 2 * ALPHA)))
-    ratio[(pos + neg < MIN_ROWS) | (np.abs(ratio) < MIN_RATIO)] = 0.0
+    ratio[(counts.sum(axis=0) < MIN_ROWS) | (np.abs(ratio) < MIN_RATIO)] = 0.0
     used = np.flatnonzero(ratio)
-    number = np.full(width, -1)
+    number = np.full(width, -1, np.int32)
     number[used] = np.arange(len(used))
-    kept = number[flat] >= 0
-    cols, rows = number[flat[kept]], rows[kept]
+    # Only features with a telling ratio are kept, row by row, so all rows together stay small.
+    kept = [own[own >= 0] for own in (number[ids] for ids in grams)]
+    cols, rows = np.concatenate(kept), np.repeat(np.arange(len(y), dtype=np.int32), [len(x) for x in kept])
     scale = ratio[used]
     values = scale[cols]
 
@@ -188,7 +188,7 @@ def block_scores(block: tx.Block, weights: np.ndarray, intercept: float) -> np.n
 
 def _score(packed: bytes, intercept: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     weights = np.frombuffer(zlib.decompress(packed), np.float32)
-    for batch in batches:
+    for batch in map(tx.with_text, batches):
         keep = [i for i, n in enumerate(batch.schema.names) if n != "__text"]
         for block in tx.blocks(batch, "__text", lower=True):
             own = batch.slice(block.lo, len(block))
@@ -199,7 +199,10 @@ def _score(packed: bytes, intercept: float, batches: Iterator[pa.RecordBatch]) -
 
 
 def scored(rows: DataFrame, model: tuple[bytes, float]) -> DataFrame:
-    """All columns of the rows but `__text`, and `__score`, the chance of label 1."""
+    """All columns of the rows but `__text`, and `__score`, the chance of label 1.
+
+    Without a column `__text`, the text is that of the struct `__row`.
+    """
     schema = rows.drop("__text").withColumn("__score", F.lit(0.0)).schema
     return rows.mapInArrow(partial(_score, *model), schema)
 
@@ -217,5 +220,4 @@ def toxicity(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> Da
 def without_toxic(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, all their columns, whose predicted label is 0; one scan, no shuffle."""
     model = train(documents, labels)
-    whole = documents.select(F.struct(*documents.columns).alias("__row"), F.col("text").cast("string").alias("__text"))
-    return scored(whole, model).where(F.col("__score") < THRESHOLD).select("__row.*")
+    return scored(documents.select(F.struct(*documents.columns).alias("__row")), model).where(F.col("__score") < THRESHOLD).select("__row.*")
