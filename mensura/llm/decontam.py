@@ -8,7 +8,12 @@ without gaps, and the best stretch of the overlap decides: equal words gain,
 different words cost, so that substitutions are tolerated.
 
 An overlap counts from `MIN_EQUAL` equal words on, or all words of an item that
-has fewer, if `MIN_SHARE` of its words are equal.  Items shorter than a mask are
+has fewer, if `MIN_SHARE` of its words are equal.  An item of `SPAN` words or more
+that lies in the text whole counts as well if `MIN_SHARE` of its words are equal,
+wherever the others are.  Every overlap that counts has a seed: where at most a
+quarter of 12 or more words differ, some six in a row hold at most one of them,
+which five of the masks allow; the one exception, 4 equal, 2 other, 4 equal, 2
+other and 4 equal words, has the sixth.  Items shorter than `SPAN` words are
 looked for whole and unchanged; items of fewer than `MIN_ITEM` words, NULL and
 empty ones are never found.  NULL and empty texts hold nothing.  Rows that share
 a doc_id or item_id are looked at one by one and reported once, with their best
@@ -27,7 +32,7 @@ from mensura.llm import bloom
 from mensura.llm import text as tx
 
 # Words of a window that count.
-MASKS = ("111111111000", "110110110111", "111011001011", "101101110101", "110101011101")
+MASKS = ("11111", "101111", "110111", "111011", "111101", "11110011")
 SPAN = 12
 MIN_ITEM = 5
 MIN_EQUAL, MIN_SHARE = 12, 0.75
@@ -40,15 +45,15 @@ LETTERS[0x30:0x3A] = LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = LETTERS[0x80:] =
 def masked(words: np.ndarray, first: np.ndarray, whole: bool, lengths: tuple[int, ...] = ()) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Hash, first word and text of every window: each mask, then runs of the given lengths.
 
-    `whole` takes the runs only where they are a whole text.
+    `whole` takes the runs only where they are a whole text, and the masks only in texts of `SPAN` words or more.
     """
     counts = np.diff(first)
-    shapes = [(m, SPAN, np.flatnonzero(np.frombuffer(m.encode(), np.uint8) == ord("1"))) for m in MASKS]
+    shapes = [(m, len(m), np.flatnonzero(np.frombuffer(m.encode(), np.uint8) == ord("1"))) for m in MASKS]
     shapes += [(f"run{n}", n, np.arange(n)) for n in lengths]
     for salt, (_, span, offsets) in enumerate(shapes):
         fits = np.maximum(counts - (span - 1), 0)
-        if whole and salt >= len(MASKS):
-            fits = (counts == span).astype(np.int64)
+        if whole:
+            fits = np.where(counts < SPAN, 0, fits) if salt < len(MASKS) else (counts == span).astype(np.int64)
         text = np.repeat(np.arange(len(counts)), fits)
         at = np.arange(int(fits.sum())) - np.repeat(np.cumsum(fits) - fits, fits) + first[:-1][text]
         seed = (salt if salt < len(MASKS) else 100 + span) * 0x9E3779B97F4A7C15
@@ -107,6 +112,15 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(equal[start:end].sum())
 
 
+def overlap(equal: np.ndarray, n_item: int) -> tuple[int, int, int] | None:
+    """Start, end and equal words of what counts of an item laid over a text: the best stretch, or the whole item."""
+    start, end, n = best_stretch(equal)
+    if n >= min(MIN_EQUAL, n_item) and n >= MIN_SHARE * (end - start):
+        return start, end, n
+    n = int(equal.sum())
+    return (0, n_item, n) if len(equal) == n_item >= SPAN and n >= MIN_SHARE * n_item else None
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_equal", pa.int64()), ("n_words", pa.int64()), ("doc_word", pa.int64()), ("item_word", pa.int64())])
     for batch in batches:
@@ -126,8 +140,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         if b - a < MIN_ITEM:
                             continue
                         equal = np.fromiter((item[j] == doc[j + shift] for j in range(a, b)), bool, b - a)
-                        start, end, n = best_stretch(equal)
-                        if n >= min(MIN_EQUAL, len(item)) and n >= MIN_SHARE * (end - start):
+                        if counts := overlap(equal, len(item)):
+                            start, end, n = counts
                             found.append((row.column("doc_id")[0].as_py(), case["item_id"], n, end - start, a + start + shift, a + start))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True) if found else [[]] * 6, schema, strict=True)], schema=schema)
 

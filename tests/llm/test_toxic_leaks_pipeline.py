@@ -95,6 +95,32 @@ def test_overlaps_equal_brute_force_on_the_shared_table(spark):
     assert got == want
 
 
+def test_changed_items_of_12_to_24_words_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    items, docs = [], []
+    for k in range(260):
+        n = 12 + k % 13
+        item = words(n, 3000 + k, 100000)
+        items.append((k, " ".join(item)))
+        changed = list(item)
+        for j in rng.choice(n, size=int(n * rng.choice([0.1, 0.17, 0.25, 0.3])), replace=False):
+            changed[j] = f"x{j}"
+        docs.append((k, " ".join([*words(k % 7, 5000 + k), *changed, *words(k % 5, 6000 + k)])))
+    item = words(16, 8000, 100000)
+    items.append((900, " ".join(item)))
+    docs.append((900, " ".join("y" if j in (4, 5, 10, 11) else w for j, w in enumerate(item))))
+    got, want, quarter = set(leaks(spark, docs, items)), set(), 0
+    for (i, text), (k, item) in zip(docs, items, strict=True):
+        own, w = np.array(item.split()), np.array(text.split())
+        for shift in range(len(w) - len(own) + 1):
+            equal = own == w[shift : shift + len(own)]
+            s, e, n = decontam.best_stretch(equal)
+            if equal.mean() >= 0.75 or (n >= 12 and n >= 0.75 * (e - s)):
+                want.add((i, k))
+                quarter += equal.mean() <= 0.8
+    assert got == want and (900, 900) in got and quarter > 40
+
+
 def test_clean_keeps_all_columns(spark, messy, nothing):
     bench = spark.createDataFrame([(1, messy.where("doc_id = 0").first().text)], "item_id long, text string")
     kept = decontam.clean(messy, bench)
