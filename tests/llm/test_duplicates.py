@@ -8,6 +8,7 @@ from compare import difference
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import messy, nothing, texts  # noqa: F401
+from llm_words import words
 
 from mensura.llm import induced, jaccard, lines, suffix
 from mensura.llm.components import components
@@ -194,3 +195,48 @@ def test_chunk_borders_survive_a_shift():
     cut = {tuple(own[a:b]) for a, b in lines.chunks(own)}
     moved = {tuple(x[a:b]) for x in [[b"new", *own]] for a, b in lines.chunks(x)}
     assert len(cut - moved) <= 2
+
+
+# --- passages of lines ------------------------------------------------------
+
+
+def test_short_passages_of_long_lines_stay_once(spark):
+    rows = []
+    for n in range(1, 7):
+        passage = [" ".join(words(55 if n == 1 else 30, 1000 * n + k)) for k in range(n)]
+        for c in range(4):
+            rows.append((10 * n + c, "\n".join([f"before {n} {c}", *passage, f"after {n} {c}"])))
+    kept = {r.doc_id: r.text for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    for i, text in rows:
+        assert kept[i] == (text if i % 10 == 0 else f"before {i // 10} {i % 10}\nafter {i // 10} {i % 10}")
+
+
+def test_every_run_of_enough_words_that_occurs_before_goes(spark):
+    rng = random.Random(5)
+    own = [" ".join(words(rng.choice([0, 3, 12, 28, 55, 80]), 7000 + k, 100000)) for k in range(60)]
+    rows = []
+    for i in range(40):
+        text = []
+        for _ in range(rng.randint(1, 4)):
+            a = rng.randrange(60)
+            text += [f"line {rng.random()}"] * rng.randint(0, 2) + own[a : a + rng.randint(1, 6)]
+        rows.append((i, "\n".join(text)))
+    rows += [(100, rows[3][1]), (101, rows[9][1]), (102, "\n".join([own[5]] * 5)), (103, "\n".join([" ".join(words(25, 9900))] * 5))]
+    first_of, split, runs = {}, {}, []
+    for i, text in rows:
+        first_of.setdefault(text, i)
+    for i, text in rows:
+        split[i] = text.split("\n")
+        cut = {(a, b) for a, b in lines.chunks([x.encode() for x in split[i]]) if b - a >= 2} if first_of[text] == i else ()
+        if first_of[text] == i:
+            sizes = [len(x.split()) for x in split[i]]
+            n = len(sizes)
+            runs += [(i, a, b) for a in range(n) for b in range(a + 1, n + 1) if sum(sizes[a:b]) >= 50 or (a, b) in cut]
+    seen, gone = {}, {i: set() for i in split}
+    for i, a, b in sorted(runs):
+        j, at = seen.setdefault("\n".join(split[i][a:b]), (i, a))
+        if j != i or a >= at + b - a:
+            gone[i] |= set(range(a, b))
+    want = {i: "\n".join(x for k, x in enumerate(split[i]) if k not in gone[first_of[text]]) for i, text in rows}
+    got = {r.doc_id: r.text for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == want and any(gone.values()) and got[100] == got[3]
