@@ -25,8 +25,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the multi-line chunks that occur before."""
-    return lines.without_repeats(docs)
+    """The documents without the chunks and runs of lines that occur before; those that lose all their words go.
+
+    Empty and NULL texts pass.  Exact copies of a text end as equal texts, of which the next stage keeps one.
+    """
+    return lines.without_repeats(docs, emptied=False)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

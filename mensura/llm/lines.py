@@ -233,10 +233,12 @@ def report(documents: DataFrame) -> DataFrame:
     )
 
 
-def without_repeats(documents: DataFrame) -> DataFrame:
-    """The documents, all their columns, with the text that stays."""
+def without_repeats(documents: DataFrame, emptied: bool = True) -> DataFrame:
+    """The documents, all their columns, with the text that stays; on wish without those that had words and lose all of them."""
     columns = [F.col("__kept").alias(c) if c == "text" else F.col("__row")[c].alias(c) for c in documents.columns]
-    return dedup(documents, passages).select(*columns)
+    whole = dedup(documents, passages)
+    lost = F.col("__row.text").cast("string").rlike("\\S") & ~F.col("__kept").rlike("\\S")
+    return (whole if emptied else whole.where(~F.coalesce(lost, F.lit(False)))).select(*columns)
 
 
 #: The same figures in DuckDB; bodies are grouped by themselves.

@@ -172,3 +172,16 @@ def test_pipeline_on_messy_rows(spark, messy, tmp_path):
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in rows} >= {0, 3, 4, 5, 6, 7, 9, 10, 12}
     assert not {1, 2, 8} & {r.doc_id for r in rows}
+
+
+def test_pipeline_leaves_one_of_many_copies(spark, tmp_path):
+    two, longer = ("\n".join(" ".join(words(n, 100 * k + i)) for i in range(m)) for k, n, m in [(7, 9, 2), (8, 30, 9)])
+    part = "\n".join(longer.split("\n")[2:5])
+    rows = [*((i, two) for i in range(10)), *((i, longer) for i in range(20, 30)), *((i, part) for i in range(40, 50)), (60, ""), (61, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(0, "nothing that any of them holds at all in here today or ever again")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = {r.doc_id: r.text for r in corpus_pipeline.line_dedup_stage(spark, docs, str(tmp_path)).collect()}
+    assert kept == {**{i: t for i, t in rows if i < 40}, 60: "", 61: None}
+    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [0, 20, 60, 61]
