@@ -147,11 +147,29 @@ def automaton():
 
 
 def expressions_of(text: bytes) -> Iterator[list[str]]:
-    """Tokens of the line after each identifier tag, up to the end of a comment."""
+    """Tokens of the expression after each identifier tag: the line up to the end of a comment, or the part of it that is one."""
     for tag in _RAW_TAG.finditer(text):
         stop = _LINE_END.search(text, tag.end())
         line = text[tag.end() : stop.start() if stop else len(text)]
-        yield [x.decode("ascii").lower().strip(":") for x in _TOKEN.findall(line) if x.strip(b":.-")]
+        raw = [x for x in _TOKEN.findall(line) if x.strip(b":.-")]
+        stops = next((i for i, x in enumerate(raw, 1) if x.endswith(b".")), len(raw))  # a sentence ends there
+        tokens = [x.decode("ascii").lower().strip(":").rstrip(".-:") for x in raw[:stops]]
+        yield tokens[: longest(tokens)] or tokens
+
+
+def longest(tokens: list[str]) -> int:
+    """Length of the longest start of the tokens that is an expression; 0 if none is."""
+    operand_next, depth, found = True, 0, 0
+    for i, token in enumerate(tokens, 1):
+        if operand_next == (token == ")" or token in PRIORITY):
+            break
+        depth += (token == "(") - (token == ")")
+        if depth < 0:
+            break
+        operand_next = token == "(" or token in PRIORITY
+        if not operand_next and depth == 0:
+            found = i
+    return found
 
 
 def scan(text: bytes, machine) -> tuple:

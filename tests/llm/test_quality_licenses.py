@@ -87,3 +87,15 @@ def test_identifier_expressions():
     assert licenses.alternatives("( mit or x ) and y".split()) == [frozenset({"mit", "y"}), frozenset({"x", "y"})]
     assert scan("SPDX-License-Identifier: OR OR")[5:7] == ("", 0.3)
     assert scan("no licence here")[4:7] == ("", "", 0.0)
+
+
+def test_identifier_tags_inside_prose():
+    for line, labels in [
+        ("SPDX-License-Identifier: MIT. This file is part of X", "mit"), ("see SPDX-License-Identifier: MIT.", "mit"),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0 holds for all of it", "apache-2,mit"), ("SPDX-License-Identifier: MIT. And more", "mit"),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0) (see there", "apache-2,mit"), ("SPDX-License-Identifier: MIT-", "mit"),
+    ]:
+        assert scan(line)[5:7] == (labels, 1.0), line
+    for tokens in ("a or b and c with d", "( a or b ) and c", "a", "( ( a ) )"):
+        assert licenses.longest(tokens.split()) == len(tokens.split())
+    assert [licenses.longest(t.split()) for t in ("a or", "or a", "( a", "a )", "a b", "( )", "")] == [1, 0, 0, 1, 1, 0, 0]
