@@ -167,7 +167,9 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[bytes, float]:
         return empty, float("inf") if n and toxic == n else float("-inf")
     ids = F.broadcast(sample_ids(labels))  # at most 2 * SAMPLE_PER_LABEL rows of 12 bytes
     rows = documents.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text")).join(ids, "doc_id")
-    grams = rows.select("toxic", "text").limit(2 * SAMPLE_PER_LABEL).mapInArrow(_sample_features, "toxic int, grams binary")
+    # One row of each sampled doc_id, that of the least text hash: the sample is bounded and the same on every run.
+    single = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    grams = single.select("toxic", "text").mapInArrow(_sample_features, "toxic int, grams binary")
     model = grams.groupBy().applyInArrow(lambda table: _fit_both(toxic / n, table), "weights binary, intercept double").first()
     return (bytes(model["weights"]), model["intercept"]) if model else (empty, float(np.log(toxic / (n - toxic))))
 

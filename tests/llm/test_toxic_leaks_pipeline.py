@@ -185,3 +185,11 @@ def test_pipeline_leaves_one_of_many_copies(spark, tmp_path):
     kept = {r.doc_id: r.text for r in corpus_pipeline.line_dedup_stage(spark, docs, str(tmp_path)).collect()}
     assert kept == {**{i: t for i, t in rows if i < 40}, 60: "", 61: None}
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == [0, 20, 60, 61]
+
+
+def test_many_rows_of_one_labelled_document_leave_the_others_in_the_sample(spark):
+    rows = [(1, "the same text again")] * 4500 + [(i, " ".join(words(20, i) + (["grumfle"] if i % 2 == 0 else []))) for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(1, 60)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(spark, docs, labels).collect()}
+    assert np.mean([got[i] for i in range(2, 60, 2)]) > np.mean([got[i] for i in range(3, 60, 2)]) + 0.3
