@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mensura.llm import decontam, idfiles, jaccard, licenses, lines, pieces, quality, segments, suffix, tokencount, toxicity
+from mensura.llm import decontam, idfiles, infill, jaccard, licenses, lines, negatives, personal, pieces, quality, segments, suffix, tokencount, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,10 +56,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.report(table(spark, sf_dir, "documents"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    own = [op1_quality_rules, op2_suffix_array_dedup, op3_token_id_files, op4_token_counts, op5_toxicity, op6_ngram_jaccard_join, op7_sentencepiece, op8_license_scan, op9_line_dedup, op10_decontamination]
+    own = [op1_quality_rules, op2_suffix_array_dedup, op3_token_id_files, op4_token_counts, op5_toxicity, op6_ngram_jaccard_join, op7_sentencepiece, op8_license_scan, op9_line_dedup, op10_decontamination, op11_hard_negatives, op12_fill_in_middle, op13_personal_data]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": lines.SQL}
+    return {"op9_line_dedup": lines.SQL, "op11_hard_negatives": negatives.SQL, "op12_fill_in_middle": infill.SQL}
