@@ -108,10 +108,10 @@ def _after_cue(pattern: re.Pattern, check: Callable[[re.Match], Span | None]) ->
 
     def parse(text: bytes, at: int, end: int, low: int) -> tuple[Span | None, int]:
         if at and _WORD_BEFORE.match(text, at - 1):
-            return None, end
+            return None, low
         value = pattern.match(text, _GAP.match(text, end).end())
         span = check(value) if value else None
-        return (span, span[1]) if span else (None, end)
+        return (span, span[1]) if span else (None, low)  # a longer cue may begin here
 
     return parse
 
