@@ -1,15 +1,17 @@
-"""Versions of a table set: immutable folders and an append-only publish log.
+"""Versions of a table set: immutable folders, and numbered pointer files to them.
 
-A version is a folder.  Publishing appends one row to the log, which Spark
-commits by rename, so a reader sees either the old or the new version.  Old
-versions stay readable until somebody removes them.
+Publishing creates the next pointer, a small file that only one writer can create:
+of two publishers that started from the same version one wins and the other is
+refused, at whatever moment they write.  The pointer with the highest number is
+current.  Old versions stay readable until somebody removes them.
 """
 
 import datetime as dt
+import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from mensura.sources import store
 
 LOG_SCHEMA = "seq long, run_id string, replaced string, published_at timestamp"
 
@@ -18,27 +20,40 @@ class PublishConflict(RuntimeError):
     """Another run published meanwhile."""
 
 
+class AlreadyPublished(RuntimeError):
+    """The run id was published before; its version must not change."""
+
+
 def folder(root: str, run_id: str) -> str:
     return f"{root}/versions/{run_id}"
 
 
-def _log_path(root: str) -> str:
-    return f"{root}/published"
+def _pointers(root: str) -> str:
+    return f"{root}/pointers"
+
+
+def _pointer(root: str, seq: int) -> str:
+    return f"{_pointers(root)}/{seq:012d}.json"
+
+
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    return [int(name.removesuffix(".json")) for name in store.names(spark, _pointers(root))]
+
+
+def pointers(spark: SparkSession, root: str) -> list[dict]:
+    """All publications, oldest first: one small file each."""
+    return [json.loads(store.text(spark, _pointer(root, n))) for n in _numbers(spark, root)]
 
 
 def log(spark: SparkSession, root: str) -> DataFrame:
     """All publications, oldest first."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root)).orderBy("seq", "published_at", "run_id")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LOG_SCHEMA)
+    rows = [(p["seq"], p["run_id"], p["replaced"], dt.datetime.fromisoformat(p["published_at"])) for p in pointers(spark, root)]
+    return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
-def _last(spark: SparkSession, root: str):
-    newest = F.max(F.struct("seq", "published_at", "run_id")).alias("newest")
-    return log(spark, root).agg(newest).first()["newest"]
+def _last(spark: SparkSession, root: str) -> dict | None:
+    numbers = _numbers(spark, root)
+    return json.loads(store.text(spark, _pointer(root, numbers[-1]))) if numbers else None
 
 
 def current(spark: SparkSession, root: str) -> str | None:
@@ -47,12 +62,8 @@ def current(spark: SparkSession, root: str) -> str | None:
     return last["run_id"] if last else None
 
 
-class AlreadyPublished(RuntimeError):
-    """The run id was published before; its version must not change."""
-
-
 def is_published(spark: SparkSession, root: str, run_id: str) -> bool:
-    return not log(spark, root).filter(F.col("run_id") == run_id).isEmpty()
+    return any(p["run_id"] == run_id for p in pointers(spark, root))
 
 
 def refuse_published(spark: SparkSession, root: str, run_id: str) -> None:
@@ -67,8 +78,10 @@ def publish(spark: SparkSession, root: str, run_id: str, expected: str | None) -
     if found != expected:
         raise PublishConflict(f"expected {expected} to be current, found {found}")
     seq = (last["seq"] if last else 0) + 1
-    row = [(seq, run_id, expected, dt.datetime.now(dt.timezone.utc))]
-    spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(root))
+    now = dt.datetime.now(dt.timezone.utc).isoformat()
+    line = {"seq": seq, "run_id": run_id, "replaced": expected, "published_at": now}
+    if not store.create_once(spark, _pointer(root, seq), json.dumps(line)):
+        raise PublishConflict(f"another run became number {seq} while {run_id} was published")
 
 
 def read(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:

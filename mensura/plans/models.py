@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mensura.plans import features, silver, star
-from mensura.schemas import MEASURES, TABLES
+from mensura.plans import features, silver, star, state
+from mensura.schemas import MEASURES, STATE_TABLES, TABLES
 
 Tables = Mapping[str, DataFrame]
 SOURCES = {"bronze_produccion": "Raw monthly production as delivered", "bronze_pozos": "Raw wells master as delivered"}
@@ -31,7 +31,7 @@ class Model:
 
     @property
     def schema(self) -> T.StructType:
-        return TABLES[self.name]
+        return {**TABLES, **STATE_TABLES}[self.name]
 
 
 # Owners, domains and tags of the published tables.
@@ -42,6 +42,7 @@ _MODELS = (
         "stg_produccion", "silver", ("bronze_produccion",),
         lambda t: silver.stg_produccion(t["bronze_produccion"]),
         DATA_TEAM, "produccion", ("silver", "staging"), "Clean monthly production, one row per well and month",
+        partition_by=("anio", "mes"),
     ),
     Model(
         "stg_pozos", "silver", ("bronze_pozos",),
@@ -77,6 +78,7 @@ _MODELS = (
         "feat_produccion_offline", "gold", ("fct_produccion", "dim_tiempo", "dim_pozo"),
         lambda t: features.offline(t["fct_produccion"], t["dim_pozo"]),
         ML_TEAM, "features_produccion", ("gold", "feature_store", "offline"), "Training features and labels",
+        partition_by=("tiempo_sk",),
     ),
     Model(
         "feat_produccion_online", "gold", ("feat_produccion_offline",),
@@ -87,6 +89,21 @@ _MODELS = (
 )
 MODELS = {m.name: m for m in _MODELS}
 
+# What a later month needs to know of all others: not published, but part of every version.
+_STATES = (
+    Model(
+        "estado_periodo", "state", ("stg_produccion",),
+        lambda t: state.periodo(t["stg_produccion"]),
+        DATA_TEAM, "produccion", (), "Operators and places of each period", partition_by=("anio", "mes"),
+    ),
+    Model(
+        "estado_pozos", "state", ("stg_produccion",),
+        lambda t: state.pozos(t["stg_produccion"]),
+        DATA_TEAM, "pozos", (), "Records of each well, with its first and last month", cluster_by=("idpozo",),
+    ),
+)
+STATES = {m.name: m for m in _STATES}
+
 
 def models_at(cutoff: dt.date | None) -> dict[str, Model]:
     """The tables with the feature store as of a past month; the star stays whole."""

@@ -7,10 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mensura.operators import versions
+from mensura.operators import parts, versions
 from mensura.plans import models, quality
-from mensura.plans.models import MODELS, Model
-from mensura.sources.files import read_table
+from mensura.plans.models import MODELS, STATES, Model
 
 Tables = Mapping[str, DataFrame]
 
@@ -24,22 +23,21 @@ class Outcome:
     report: DataFrame
 
 
-def _write(spark: SparkSession, model: Model, tables: Tables, folder: str) -> DataFrame:
+def _write(spark: SparkSession, model: Model, tables: Tables, manifest: parts.Manifest, v: str) -> tuple[parts.Manifest, DataFrame]:
     """Build one table, write it, and hand back the written form, so later tables
     neither recompute it nor depend on the executors that built it.
-
-    What a failed attempt of the same run left behind is overwritten.
     """
-    path = f"{folder}/{model.name}"
     built = models.commented(quality.contract(model.build(tables), model.schema))
-    if model.partition_by:
-        # A hot month is cut into several files, small ones are put together.
-        built = built.hint("rebalance", *[F.col(c) for c in model.partition_by])
-    if model.cluster_by:
-        # Files and row groups hold key ranges, so a lookup by key skips most of them.
-        built = built.repartitionByRange(*model.cluster_by).sortWithinPartitions(*model.cluster_by)
-    built.write.mode("overwrite").partitionBy(*model.partition_by).parquet(path)
-    return read_table(spark, path, model.schema)
+    own = parts.write(built, manifest.root, v, model.name, model.partition_by, model.cluster_by)
+    manifest = manifest.whole(model.name, own)
+    return manifest, manifest.read(spark, model.name, model.schema)
+
+
+def audited(spark: SparkSession, tables: Tables, audit: Sequence[quality.Check], root: str, run_id: str, stage: str) -> DataFrame:
+    """Run the checks of a stage; their report, as written."""
+    path = f"{root}/dq_report/{run_id}/{stage}"
+    quality.run(tables, audit, run_id, f"{root}/dq_failures", stage).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_audit_publish(
@@ -49,50 +47,56 @@ def write_audit_publish(
     root: str,
     run_id: str,
     plan: Mapping[str, Model] = MODELS,
+    loads: Sequence[str] = (),
 ) -> Outcome:
     """Build all tables as a new version and publish it if no error check fails.
 
     Silver is checked before gold is built.  On an error the version stays
     unpublished, readers keep the last good one, and the failing rows can be
-    read under ``dq_failures``.
+    read under ``dq_failures``.  ``loads`` names the loads that the sources hold;
+    ``monthly`` builds the next versions from the ones that follow.
     """
     versions.refuse_published(spark, root, run_id)
     expected = versions.current(spark, root)
-    folder = versions.folder(root, run_id)
+    manifest, v = parts.Manifest(root), parts.attempt(run_id)
     tables = dict(sources)
     reports = []
-    for layer in ("silver", "gold"):
-        names = [m.name for m in plan.values() if m.layer == layer]
+    for layer in ("silver", "state", "gold"):
+        names = [m.name for m in (*plan.values(), *STATES.values()) if m.layer == layer]
         for name in names:
-            tables[name] = _write(spark, plan[name], tables, folder)
+            manifest, tables[name] = _write(spark, {**plan, **STATES}[name], tables, manifest, v)
         audit = [c for c in checks if c.table in names]
         if not audit:
             continue
-        path = f"{root}/dq_report/{run_id}/{layer}"
-        result = quality.run(tables, audit, run_id, f"{root}/dq_failures", layer)
-        result.write.mode("overwrite").parquet(path)
-        reports.append(spark.read.parquet(path))
+        reports.append(audited(spark, tables, audit, root, run_id, layer))
         if quality.blocks(reports[-1]):
             return Outcome(run_id, False, reduce(DataFrame.unionByName, reports))
+    parts.save(spark, manifest.whole(LOADS, dict.fromkeys(loads, v)), run_id)
     versions.publish(spark, root, run_id, expected)
     return Outcome(run_id, True, reduce(DataFrame.unionByName, reports))
 
 
-def read(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table of the last published version, in its declared types."""
-    run_id = versions.current(spark, root)
-    if run_id is None:
-        raise LookupError(f"nothing published under {root}")
-    return read_table(spark, f"{versions.folder(root, run_id)}/{table}", MODELS[table].schema)
+#: Name under which a manifest keeps the loads that its version has seen.
+LOADS = "_loads"
 
 
-def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All tables of one and the same published version."""
-    run_id = versions.current(spark, root)
+def manifest_of(spark: SparkSession, root: str, run_id: str | None = None) -> parts.Manifest:
+    """The parts of a version, the published one unless another is named."""
+    run_id = run_id or versions.current(spark, root)
     if run_id is None:
         raise LookupError(f"nothing published under {root}")
-    folder = versions.folder(root, run_id)
-    return {name: read_table(spark, f"{folder}/{name}", m.schema) for name, m in MODELS.items()}
+    return parts.load(spark, root, run_id)
+
+
+def read(spark: SparkSession, root: str, table: str, run_id: str | None = None) -> DataFrame:
+    """A table of the last published version, or of an older one, in its declared types."""
+    return manifest_of(spark, root, run_id).read(spark, table, MODELS[table].schema)
+
+
+def published(spark: SparkSession, root: str, run_id: str | None = None) -> dict[str, DataFrame]:
+    """All tables of one and the same version."""
+    manifest = manifest_of(spark, root, run_id)
+    return {name: manifest.read(spark, name, m.schema) for name, m in MODELS.items()}
 
 
 def register_views(spark: SparkSession, root: str) -> None:

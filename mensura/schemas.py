@@ -128,3 +128,10 @@ TABLES = {
     "feat_produccion_offline": FEAT_OFFLINE,
     "feat_produccion_online": FEAT_ONLINE,
 }
+
+STATE_TABLES = {
+    "estado_periodo": _struct(
+        "anio:long mes:long fecha_mes:date id_empresa:string empresa:string " + " ".join(f"{c}:string" for c in GEOGRAPHY)
+    ),
+    "estado_pozos": _struct("idpozo:long registros:long desde:date hasta:date"),
+}
