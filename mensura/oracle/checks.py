@@ -208,6 +208,7 @@ def checks() -> dict[str, str]:
         ),
         "dq_report": _report(),
         "wap_publish": sql(_counts(", TRUE AS primera, FALSE AS segunda"), *_published),
+        "wap_incremental": sql("SELECT * FROM fo", "fo"),
         "layer_counts": sql(_counts(", TRUE AS pruebas_bien"), *_published),
         "catalog_table": _catalog(),
         "lineage_edges": _lineage(),

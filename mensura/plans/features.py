@@ -49,7 +49,11 @@ STATIC = ("cuenca", "provincia", "formacion_productiva", "tipo_reservorio", "pro
 
 def panel(fct: DataFrame) -> DataFrame:
     """Dense well x month panel with its keys; months without a report have NULL measures."""
-    dense = densify(fct, INPUTS)
+    return keyed(densify(fct, INPUTS))
+
+
+def keyed(dense: DataFrame) -> DataFrame:
+    """The panel with the keys of well and month."""
     return dense.select(
         single_key(F.col("idpozo")).alias("pozo_sk"),
         "idpozo",
@@ -111,6 +115,11 @@ def offline(
     feats = with_ratios(base(panel(fct)))
     if cutoff is not None and mode == "literal":
         feats = feats.filter(F.col("fecha_mes") <= F.lit(cutoff))
+    return described(feats, dim_pozo)
+
+
+def described(feats: DataFrame, dim_pozo: DataFrame) -> DataFrame:
+    """The rows with the parts of their date and the attributes of their well."""
     feats = feats.withColumns(
         {
             "mes": F.month("fecha_mes"),

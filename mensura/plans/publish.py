@@ -1,6 +1,7 @@
 """Write, audit, publish: new versions become visible only after their checks pass."""
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,14 +24,29 @@ class Outcome:
     report: DataFrame
 
 
-def _write(spark: SparkSession, model: Model, tables: Tables, manifest: parts.Manifest, v: str) -> tuple[parts.Manifest, DataFrame]:
-    """Build one table, write it, and hand back the written form, so later tables
-    neither recompute it nor depend on the executors that built it.
+#: Tables that do not read each other are written at the same time, so that one's last tasks leave no cores idle.
+AT_ONCE = 4
+
+
+def write(model: Model, built: DataFrame, root: str, v: str) -> dict[str, str]:
+    """Write one table in its declared types and layout; its parts."""
+    checked = models.commented(quality.contract(built, model.schema))
+    return parts.write(checked, root, v, model.name, model.partition_by, model.cluster_by)
+
+
+def _build(spark: SparkSession, plan: Sequence[Model], tables: dict[str, DataFrame], manifest: parts.Manifest, v: str) -> parts.Manifest:
+    """Write the tables of a layer and put their written form into ``tables``, so later
+    ones neither recompute them nor depend on the executors that built them.
     """
-    built = models.commented(quality.contract(model.build(tables), model.schema))
-    own = parts.write(built, manifest.root, v, model.name, model.partition_by, model.cluster_by)
-    manifest = manifest.whole(model.name, own)
-    return manifest, manifest.read(spark, model.name, model.schema)
+    rest = list(plan)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        while rest:
+            ready = [m for m in rest if not {r.name for r in rest} & set(m.parents)]
+            rest = [m for m in rest if m not in ready]
+            for model, own in zip(ready, pool.map(lambda m: write(m, m.build(tables), manifest.root, v), ready), strict=True):
+                manifest = manifest.whole(model.name, own)
+                tables[model.name] = manifest.read(spark, model.name, model.schema)
+    return manifest
 
 
 def audited(spark: SparkSession, tables: Tables, audit: Sequence[quality.Check], root: str, run_id: str, stage: str) -> DataFrame:
@@ -40,6 +56,11 @@ def audited(spark: SparkSession, tables: Tables, audit: Sequence[quality.Check],
     return spark.read.parquet(path)
 
 
+def joined(spark: SparkSession, reports: Sequence[DataFrame]) -> DataFrame:
+    """The reports of all stages as one; a run without checks has an empty one."""
+    return reduce(DataFrame.unionByName, reports) if reports else spark.createDataFrame([], quality.REPORT)
+
+
 def write_audit_publish(
     spark: SparkSession,
     sources: Tables,
@@ -62,18 +83,17 @@ def write_audit_publish(
     tables = dict(sources)
     reports = []
     for layer in ("silver", "state", "gold"):
-        names = [m.name for m in (*plan.values(), *STATES.values()) if m.layer == layer]
-        for name in names:
-            manifest, tables[name] = _write(spark, {**plan, **STATES}[name], tables, manifest, v)
-        audit = [c for c in checks if c.table in names]
+        own = [m for m in (*plan.values(), *STATES.values()) if m.layer == layer]
+        manifest = _build(spark, own, tables, manifest, v)
+        audit = [c for c in checks if c.table in {m.name for m in own}]
         if not audit:
             continue
         reports.append(audited(spark, tables, audit, root, run_id, layer))
         if quality.blocks(reports[-1]):
-            return Outcome(run_id, False, reduce(DataFrame.unionByName, reports))
+            return Outcome(run_id, False, joined(spark, reports))
     parts.save(spark, manifest.whole(LOADS, dict.fromkeys(loads, v)), run_id)
     versions.publish(spark, root, run_id, expected)
-    return Outcome(run_id, True, reduce(DataFrame.unionByName, reports))
+    return Outcome(run_id, True, joined(spark, reports))
 
 
 #: Name under which a manifest keeps the loads that its version has seen.

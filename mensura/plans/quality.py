@@ -21,6 +21,7 @@ from mensura.schemas import FCT_PRODUCCION, FEAT_ONLINE, MEASURES, TABLES
 
 Tables = Mapping[str, DataFrame]
 ERROR, WARN = "error", "warn"
+REPORT = "run_id string, check_name string, table_name string, severity string, failed_rows long, status string"
 FAILURES = "check_name string, table_name string, severity string, failed long, row string"
 
 # The share of reported values below which a measure is flagged,

@@ -73,6 +73,11 @@ def queries() -> dict[str, Query]:
     return dict(_queries)
 
 
+# Figures of the feature store that hang on the order of a sum.
+SOFT = [*features.MEANS, *features.STDS]
+SOFT_OFFLINE = [*SOFT, "prod_pet_pct1", "ratio_gas_pet"]
+
+
 def rounded(df: DataFrame, *names: str) -> DataFrame:
     """Figures whose last bits depend on the engine's summation, at six decimals."""
     return df.withColumns({n: F.round(n, 6) for n in names})

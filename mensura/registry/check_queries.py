@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from mensura.operators import load
 from mensura.operators.panel import History
-from mensura.plans import features, publish, quality
-from mensura.registry.base import Layers, query
+from mensura.plans import features, monthly, publish, quality
+from mensura.registry.base import SOFT_OFFLINE, Layers, query, rounded
 from mensura.schemas import FCT_PRODUCCION, MEASURES
 from mensura.session import scratch
 from mensura.sources import driver_tables as src
@@ -171,6 +171,26 @@ def wap_publish(spark, sf_dir):
     return seen.withColumns({"primera": F.lit(first.published), "segunda": F.lit(second.published)})
 
 
+#: Months of the batch of ``wap_incremental``: a corrected one, and the last ones, which the first version lacks.
+CORRECTED, LATEST = dt.date(1995, 3, 1), dt.date(1998, 9, 1)
+
+
+@query
+def wap_incremental(spark, sf_dir):
+    """The feature store after a month's run on top of an older version; it equals that of a full build."""
+    lay = Layers(spark, sf_dir)
+    root = scratch(spark, "gold")
+    raw, wells = lay.bronze_produccion(), lay.bronze_pozos()
+    day = F.make_date(F.col("anio").cast("int"), F.col("mes").cast("int"), F.lit(1))
+    older = raw.filter(day < F.lit(LATEST)).withColumn("prod_pet", F.when(day != F.lit(CORRECTED), F.col("prod_pet")))
+    publish.write_audit_publish(spark, {"bronze_produccion": older, "bronze_pozos": wells}, [], root, "older")
+    newer = raw.select("anio", "mes").filter((day >= F.lit(LATEST)) | (day == F.lit(CORRECTED))).distinct()
+    periods = [(r["anio"], r["mes"]) for r in newer.collect()]
+    sources = {"bronze_produccion": raw, "bronze_pozos": wells}
+    monthly.write_audit_publish(spark, sources, periods, quality.all_checks(), root, "newer")
+    return rounded(publish.read(spark, root, "feat_produccion_offline"), *SOFT_OFFLINE)
+
+
 @query
 def layer_counts(spark, sf_dir):
     root, _ = _publish(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mensura.functions import composite_key, guarded_month, single_key
 from mensura.operators import panel as panels
 from mensura.plans import features, reads, star
-from mensura.registry.base import Layers, query, rounded
+from mensura.registry.base import SOFT, SOFT_OFFLINE, Layers, query, rounded
 from mensura.schemas import GEOGRAPHY
 from mensura.sources import driver_tables as src
 
@@ -154,24 +154,20 @@ def feat_ratios(spark, sf_dir):
     return rounded(feats.select("idpozo", "fecha_mes", *ratios), *ratios)
 
 
-_SOFT = [*features.MEANS, *features.STDS]
-_SOFT_OFFLINE = [*_SOFT, "prod_pet_pct1", "ratio_gas_pet"]
-
-
 @query
 def feat_base(spark, sf_dir):
-    return rounded(Layers(spark, sf_dir).base(), *_SOFT)
+    return rounded(Layers(spark, sf_dir).base(), *SOFT)
 
 
 @query
 def feat_offline(spark, sf_dir):
-    return rounded(Layers(spark, sf_dir).offline(), *_SOFT_OFFLINE)
+    return rounded(Layers(spark, sf_dir).offline(), *SOFT_OFFLINE)
 
 
 def _at_cutoff(spark, sf_dir, mode):
     lay = Layers(spark, sf_dir)
     feats = features.offline(lay.fct(), lay.dim_pozo(), cutoff=dt.date(1998, 6, 1), mode=mode)
-    return rounded(feats, *_SOFT_OFFLINE)
+    return rounded(feats, *SOFT_OFFLINE)
 
 
 @query
@@ -186,7 +182,7 @@ def feat_offline_literal(spark, sf_dir):
 
 @query
 def feat_online(spark, sf_dir):
-    return rounded(Layers(spark, sf_dir).online(), *_SOFT_OFFLINE)
+    return rounded(Layers(spark, sf_dir).online(), *SOFT_OFFLINE)
 
 
 # --- read queries -----------------------------------------------------------
