@@ -2,7 +2,7 @@
 
     python -m mensura.jobs ingest    --warehouse DIR --produccion CSV... --pozos CSV... --run-id ID
         [--date-from DAY] [--date-to DAY] [--interval-start DAY --interval-end DAY] [--multiline]
-    python -m mensura.jobs transform --warehouse DIR --run-id ID [--cutoff 2024-06-01]
+    python -m mensura.jobs transform --warehouse DIR --run-id ID [--cutoff 2024-06-01 | --incremental]
     python -m mensura.jobs train     --warehouse DIR --target prod_pet --run-id ID [--min-skill 0.0]
 
 ``warehouse`` is a folder every executor can reach.  Each job can be repeated:
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from mensura.operators import load, versions
-from mensura.plans import forecast, models, publish, quality
+from mensura.plans import forecast, models, monthly, publish, quality
 from mensura.schemas import BRONZE_POZOS, BRONZE_PRODUCCION, LOAD_METADATA
 from mensura.sources.csv import scan_csv_files
 from mensura.sources.files import file_fingerprints, read_table
@@ -38,6 +38,10 @@ class Warehouse:
     def rejected(self) -> str:
         return os.path.join(self.root, "bronze", "rejected")
 
+    @property
+    def loads(self) -> str:
+        return os.path.join(self.root, "bronze", "loads")
+
     @property
     def pozos(self) -> str:
         return os.path.join(self.root, "bronze", "pozos")
@@ -86,7 +90,9 @@ def ingest(
         if refused:
             load.replace_by_key(unsound, warehouse.rejected, "_batch_id")
         window = load.load_window(date_from, date_to, interval)
-        load.merge_by_period(load.period_filter(rows, *window), warehouse.produccion)
+        mine = load.open_load(spark, warehouse.loads, run_id)
+        periods = load.merge_by_period(load.period_filter(rows, *window), warehouse.produccion)
+        load.close_load(spark, warehouse.loads, mine, periods)
     if pozos and not versions.is_published(spark, warehouse.pozos, run_id):
         load.replace_full(_loaded(spark, pozos, BRONZE_POZOS, run_id, "full", multiline), warehouse.pozos, run_id)
     return refused
@@ -102,12 +108,26 @@ def bronze(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
 
 
 def transform(
-    spark: SparkSession, warehouse: Warehouse, run_id: str, cutoff: dt.date | None = None
+    spark: SparkSession, warehouse: Warehouse, run_id: str, cutoff: dt.date | None = None, incremental: bool = False
 ) -> publish.Outcome:
-    """Build, check and - if no error check fails - publish all tables."""
-    return publish.write_audit_publish(
-        spark, bronze(spark, warehouse), quality.all_checks(cutoff), warehouse.gold, run_id, models.models_at(cutoff)
-    )
+    """Build, check and - if no error check fails - publish all tables.
+
+    ``incremental`` starts from the published version and rebuilds what the loads
+    since then have replaced.  Everything is built where there is no version of all months
+    yet, or where a load ended without saying what it replaced.
+    """
+    if incremental and cutoff is not None:
+        raise ValueError("a version of a past month is built as a whole")
+    known = load.loads(spark, warehouse.loads)
+    sources, checks = bronze(spark, warehouse), quality.all_checks(cutoff)
+    if incremental and versions.current(spark, warehouse.gold) is not None:
+        base = publish.manifest_of(spark, warehouse.gold).tables
+        new = {name: periods for name, periods in known.items() if name not in base.get(publish.LOADS, {})}
+        if publish.COMPLETE in base and None not in new.values():
+            replaced = sorted({p for periods in new.values() for p in periods})
+            return monthly.write_audit_publish(spark, sources, replaced, checks, warehouse.gold, run_id, list(new))
+    ended = [name for name, periods in known.items() if periods is not None]
+    return publish.write_audit_publish(spark, sources, checks, warehouse.gold, run_id, models.models_at(cutoff), ended)
 
 
 def train(
@@ -134,6 +154,7 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
             job.add_argument("--multiline", action="store_true", help="line breaks inside quotes, one task per file")
         elif name == "transform":
             job.add_argument("--cutoff", type=dt.date.fromisoformat)
+            job.add_argument("--incremental", action="store_true", help="rebuild only what was loaded since the published version")
         else:
             job.add_argument("--target", choices=forecast.TARGETS, default="prod_pet")
             job.add_argument("--min-skill", type=float, default=forecast.MIN_SKILL)
@@ -155,7 +176,7 @@ def main(argv: list[str] | None = None) -> int:
         if refused:
             print(f"{refused} rows without a sound period are in {warehouse.rejected}", file=sys.stderr)
     elif args.job == "transform":
-        outcome = transform(spark, warehouse, args.run_id, args.cutoff)
+        outcome = transform(spark, warehouse, args.run_id, args.cutoff, args.incremental)
         outcome.report.filter("status <> 'pass'").show(100, truncate=False)
         if not outcome.published:
             print(f"{args.run_id} was not published", file=sys.stderr)

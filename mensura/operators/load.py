@@ -1,15 +1,18 @@
 """Load steps between a landed file and a bronze table."""
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mensura.functions import coerced_period
 from mensura.operators import versions
 from mensura.schemas import LOAD_METADATA
+from mensura.sources import store
 from mensura.sources.csv import FILE_NAME, FILE_PATH, FILE_TIME
 
 PERIOD = ("anio", "mes")
@@ -93,30 +96,33 @@ def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Overwrite the partitions the rows belong to, and no other.
+def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> list[tuple]:
+    """Overwrite the partitions the rows belong to, and no other; their key values, seen while writing.
 
     ``rebalance`` lets adaptive execution cut a hot partition into several
     files and merge small ones, so no period is written by one task alone.
     """
+    seen = Observation()
     (
-        df.hint("rebalance", *[F.col(k) for k in keys])
+        df.observe(seen, F.collect_set(F.struct(*keys)).alias("keys"))
+        .hint("rebalance", *[F.col(k) for k in keys])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
+    return sorted(tuple(row) for row in seen.get["keys"])
 
 
-def merge_by_period(df: DataFrame, path: str, keys: Sequence[str] = PERIOD) -> None:
-    """Replace exactly the periods present in the batch.  Repeating a load changes nothing.
+def merge_by_period(df: DataFrame, path: str, keys: Sequence[str] = PERIOD) -> list[tuple]:
+    """Replace exactly the periods present in the batch, and name them.  Repeating a load changes nothing.
 
     A batch must carry whole periods.  A period the source no longer has stays.
     """
     batch = df.dropna(subset=list(keys))
     if batch.isEmpty():
         raise EmptyBatch("no rows left after the period filter")
-    replace_partitions(batch, path, keys)
+    return replace_partitions(batch, path, keys)
 
 
 def replace_full(df: DataFrame, root: str, run_id: str) -> None:
@@ -130,3 +136,31 @@ def replace_full(df: DataFrame, root: str, run_id: str) -> None:
 def replace_by_key(df: DataFrame, path: str, key: str) -> None:
     """Replace the rows of the keys present in the batch, as one partition each."""
     replace_partitions(df, path, [key])
+
+
+# --- loads, as the later jobs see them ---------------------------------------
+
+
+def open_load(spark: SparkSession, root: str, run_id: str) -> str:
+    """Announce a load before it writes; its id, which sorts by time.  Until it is closed it may have written anything."""
+    load_id = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}.{run_id}.{uuid.uuid4().hex[:8]}"
+    store.create_once(spark, f"{root}/{load_id}.open.json", "{}")
+    return load_id
+
+
+def close_load(spark: SparkSession, root: str, load_id: str, periods: Sequence[tuple]) -> None:
+    """Say which periods a finished load has replaced."""
+    store.create_once(spark, f"{root}/{load_id}.done.json", json.dumps(periods))
+
+
+def loads(spark: SparkSession, root: str) -> dict[str, list[tuple] | None]:
+    """All loads with the periods they replaced; None where a load has not ended.
+
+    A load that failed is left out once a later attempt of its run has ended, which replaces the same periods.
+    """
+    names = store.names(spark, root)
+    opened = [n.removesuffix(".open.json") for n in names if n.endswith(".open.json")]
+    ended = [n.removesuffix(".done.json") for n in names if n.endswith(".done.json")]
+    run = lambda load_id: load_id.partition(".")[2].rpartition(".")[0]
+    found: dict[str, list[tuple] | None] = {n: None for n in opened if not any(run(e) == run(n) and e > n for e in ended)}
+    return found | {n: [tuple(p) for p in json.loads(store.text(spark, f"{root}/{n}.done.json"))] for n in ended}

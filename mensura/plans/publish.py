@@ -91,13 +91,16 @@ def write_audit_publish(
         reports.append(audited(spark, tables, audit, root, run_id, layer))
         if quality.blocks(reports[-1]):
             return Outcome(run_id, False, joined(spark, reports))
+    if dict(plan) == MODELS:
+        manifest = manifest.whole(COMPLETE, {"": v})
     parts.save(spark, manifest.whole(LOADS, dict.fromkeys(loads, v)), run_id)
     versions.publish(spark, root, run_id, expected)
     return Outcome(run_id, True, joined(spark, reports))
 
 
-#: Name under which a manifest keeps the loads that its version has seen.
-LOADS = "_loads"
+#: Names under which a manifest keeps the loads that its version has seen, and that it is one of all
+#: months: a version of a past month is no ground for the next one.
+LOADS, COMPLETE = "_loads", "_complete"
 
 
 def manifest_of(spark: SparkSession, root: str, run_id: str | None = None) -> parts.Manifest:

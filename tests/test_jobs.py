@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import rows
 from mensura import jobs
-from mensura.operators import versions
+from mensura.operators import load, versions
 from mensura.operators.joins import lookup
 from mensura.plans import forecast, publish, reads
 
@@ -56,6 +56,40 @@ def test_a_month_from_files_to_forecast(spark, tmp_path):
     assert versions.current(spark, house.gold) == "t-past"
 
 
+def test_an_incremental_run_takes_the_loads_since_the_last_version(spark, tmp_path):
+    house = jobs.Warehouse(str(tmp_path / "house"))
+    arguments = ["--warehouse", house.root, "--run-id"]
+
+    def ingest(run_id, reports, *more):
+        made = [rows.produccion_row(w, "C07", 2024, m, pet, 1.0, 1.0, 30.0, "Petrolera Sur", "Bajo Norte") for w, m, pet in reports]
+        drop = write_csv(spark, rows.produccion(spark, made), str(tmp_path / f"drop-{run_id}"))
+        assert jobs.main(["ingest", *arguments, run_id, "--produccion", drop, *more]) == 0
+
+    pozos = write_csv(spark, rows.pozos(spark), str(tmp_path / "pozos"))
+    ingest("i1", [(w, m, 10.0 * w + m) for w in (1, 2) for m in (1, 2, 3)], "--pozos", pozos)
+    assert jobs.main(["transform", *arguments, "t1", "--incremental"]) == 0  # nothing published yet: a full build
+    ingest("i2", [(1, 4, 50.0), (3, 4, 60.0)])
+    assert jobs.main(["transform", *arguments, "t2", "--incremental"]) == 0
+    first, second = (publish.manifest_of(spark, house.gold, r).tables["fct_produccion"] for r in ("t1", "t2"))
+    assert {p for p, v in second.items() if first.get(p) != v} == {"tiempo_sk=202404"}
+    assert publish.read(spark, house.gold, "feat_produccion_offline").count() == 8
+
+    # A load that failed half way: everything is built, until a later attempt of the same run says what it replaced.
+    broken = load.open_load(spark, house.loads, "i3")
+    assert load.loads(spark, house.loads)[broken] is None
+    assert jobs.main(["transform", *arguments, "t3", "--incremental"]) == 0
+    third = publish.manifest_of(spark, house.gold).tables["fct_produccion"]
+    assert {v.split(".")[0] for v in third.values()} == {"t3"}
+    ingest("i3", [(1, 4, 51.0), (3, 4, 60.0)])
+    known = load.loads(spark, house.loads)
+    assert broken not in known and [p for n, p in known.items() if ".i3." in n] == [[(2024, 4)]]
+    assert jobs.main(["transform", *arguments, "t4", "--incremental"]) == 0
+    fourth = publish.manifest_of(spark, house.gold).tables["fct_produccion"]
+    assert {p for p, v in fourth.items() if third[p] != v} == {"tiempo_sk=202404"}
+    with pytest.raises(ValueError, match="past month"):
+        jobs.transform(spark, house, "t5", cutoff=dt.date(2024, 2, 1), incremental=True)
+
+
 def test_ingest_loads_every_period_or_the_month_of_its_interval(spark, tmp_path):
     raw = [rows.produccion_row(1, "C07", y, m, 1.0, 1.0, 1.0, 1.0, "N", "A") for y, m in ((2019, 5), (2024, 3), (2026, 7))]
     raw += [rows.produccion_row(2, "C07", y, m, 1.0, 1.0, 1.0, 1.0, "N", "A") for y, m in ((2024, 13), (None, 2))]

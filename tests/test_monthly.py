@@ -125,8 +125,15 @@ def test_a_red_month_keeps_the_last_version(spark, chain, tmp_path):
     red = monthly.write_audit_publish(spark, late, [(88888, 2)], quality.all_checks(), root, "late")
     failed = {r["check_name"] for r in red.report.filter("status = 'error'").collect()}
     assert not red.published and "not_null_fct_produccion_tiempo_sk" in failed
-    with pytest.raises(monthly.NoChange):
-        monthly.write_audit_publish(spark, raw, [], [], root, "none")
+
+
+def test_a_run_without_periods_takes_the_wells_master(spark, chain, tmp_path):
+    root, full = str(tmp_path / "gold"), str(tmp_path / "full")
+    publish.write_audit_publish(spark, sources(spark, history()), [], root, "v0")
+    raw = sources(spark, history(), {(3, 5): "Golfo"})
+    assert monthly.write_audit_publish(spark, raw, [], quality.star_checks(), root, "v1").published
+    publish.write_audit_publish(spark, raw, [], full, "v1")
+    assert tables(spark, root, "v1") == tables(spark, full, "v1")
 
 
 def test_two_publishers_in_one_moment(spark, tmp_path, monkeypatch):
