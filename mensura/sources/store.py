@@ -69,3 +69,13 @@ def create_once(spark: SparkSession, path: str, content: str) -> bool:
     finally:
         store.fs.delete(draft, False)
     return True
+
+
+def put(spark: SparkSession, path: str, content: str) -> None:
+    """Write a small file, in place of an older one."""
+    store = _Store(spark, path)
+    stream = store.fs.create(store.path, True)
+    try:
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
