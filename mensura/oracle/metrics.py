@@ -63,6 +63,20 @@ def _states(where: str = "TRUE") -> str:
              THEN 'firing' ELSE 'pending' END AS state FROM i)"""
 
 
+def _keyed_states(where: str = "TRUE") -> tuple[str, ...]:
+    """States of the error rule over all requests and of the latency rule for each endpoint."""
+    return (
+        _ratios,
+        """l AS (SELECT endpoint, date_trunc('hour', ts) + INTERVAL 1 HOUR AS ts, count(*) FILTER (WHERE latency > 30) / count(*) AS g FROM r GROUP BY ALL)""",
+        f"""f AS (SELECT 'ErrorRateAlto' AS alert, 'warning' AS severity, 'all' AS series, ts, e AS figure, 0.2 AS threshold, 7200 AS hold FROM h WHERE {where}
+            UNION ALL SELECT 'LatenciaForecastAlta', 'warning', endpoint, ts, g, 0.4, 3600 FROM l WHERE {where})""",
+        """i AS (SELECT *, figure > threshold AS t, epoch(ts) / 3600 - row_number() OVER (PARTITION BY alert, series, figure > threshold ORDER BY ts) AS island FROM f)""",
+        """s AS (SELECT alert, severity, series, ts, figure, CASE WHEN t THEN min(ts) OVER (PARTITION BY alert, series, t, island) END AS active_since,
+            CASE WHEN NOT t THEN 'inactive' WHEN epoch(ts) - epoch(min(ts) OVER (PARTITION BY alert, series, t, island)) >= hold
+                 THEN 'firing' ELSE 'pending' END AS state FROM i)""",
+    )
+
+
 _closed = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
 
 
@@ -141,7 +155,21 @@ def metrics() -> dict[str, str]:
             _windows("r", 1),
         ),
         "stream_alert_sustained": _with(
-            "SELECT 'all' AS series, ts, round(figure, 6) AS figure, state, active_since FROM s WHERE alert = 'ErrorRateAlto'",
-            _ratios, _states("ts <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"),
+            "SELECT alert, severity, series, ts, round(figure, 6) AS figure, state, active_since FROM s",
+            *_keyed_states("ts <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"),
+        ),
+        "stream_alert_episodes": _with(
+            "SELECT * FROM e WHERE resolved_at IS NOT NULL",
+            *_keyed_states("ts <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"),
+            """a AS (SELECT alert, severity, ts, max(state = 'firing') AS f FROM s GROUP BY ALL)""",
+            """n AS (SELECT *, lead(ts) OVER w AS next, CASE WHEN NOT f OR ts - lag(ts) OVER w > INTERVAL 1 HOUR THEN 1 ELSE 0 END AS b
+                FROM a WINDOW w AS (PARTITION BY alert ORDER BY ts))""",
+            "k AS (SELECT *, sum(b) OVER (PARTITION BY alert ORDER BY ts) AS island FROM n)",
+            """e AS (SELECT alert, severity, min(ts) AS started_at, max(ts) AS ended_at, arg_max_null(next, ts) AS resolved_at,
+                1 + CAST(floor((epoch(max(ts)) - epoch(min(ts))) / 3600) AS BIGINT) AS notices FROM k WHERE f GROUP BY alert, severity, island)""",
+        ),
+        "ts_alert_states_by_endpoint": _with(
+            "SELECT alert, severity, series, ts, round(figure, 6) AS figure, state, active_since FROM s WHERE alert = 'LatenciaForecastAlta'",
+            *_keyed_states(),
         ),
     }

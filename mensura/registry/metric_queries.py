@@ -18,6 +18,7 @@ HOUR, DAY = 3600, 86400
 # The events are sparse, so rules run on hours here instead of minutes.
 ERROR_RULE = Rule("ErrorRateAlto", "warning", 0.2, 2 * HOUR)
 AUTH_RULE = Rule("TasaAutenticacionFallida", "warning", 0.2, HOUR)
+SLOW_RULE, SLOW_SECONDS = Rule("LatenciaForecastAlta", "warning", 0.4, HOUR), 30
 SPAN = ["window_start", "window_end"]
 
 
@@ -167,13 +168,59 @@ def stream_uptime(spark, sf_dir):
     return rounded(_as_logged(_final(spark, closed, "uptime"), *SPAN), "uptime_pct")
 
 
+def _streamed_figures(spark, sf_dir):
+    """Figures of closed hours: the share of errors of all requests, the share of slow ones of each endpoint."""
+    log = _request_stream(spark, sf_dir)
+    slow = {"slow": (F.col("latency") > SLOW_SECONDS).cast("long"), "total": F.lit(1).cast("long")}
+    sources = [
+        (ERROR_RULE, stream_rates.error_ratio(log, HOUR, HOUR, watermark=600), F.lit("all"), F.col("ratio")),
+        (SLOW_RULE, stream_rates.windowed_sums(log, ["endpoint"], HOUR, HOUR, 600, slow), F.col("endpoint"), ts.ratio(F.col("slow"), F.col("total"))),
+    ]
+    parts = []
+    for rule, windows, series, figure in sources:
+        path = scratch(spark, "figures")
+        stream_rates.write_available(windows, path, scratch(spark, "checkpoint")).awaitTermination()
+        closed = spark.readStream.schema(windows.schema).parquet(path)
+        parts.append(
+            closed.select(
+                F.lit(rule.alert).alias("alert"), F.lit(rule.severity).alias("severity"), series.alias("series"), F.col("window_end").alias("ts"),
+                figure.alias("figure"), F.lit(rule.threshold).alias("threshold"), F.lit(rule.hold).alias("hold"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _streamed_states(spark, sf_dir):
+    """Where the states of all closed evaluations lie, and their schema."""
+    states = stream_alerts.sustained(_streamed_figures(spark, sf_dir), HOUR)
+    path = scratch(spark, "states")
+    stream_alerts.write_available(states, path, scratch(spark, "checkpoint")).awaitTermination()
+    return path, states.schema
+
+
 @query
 def stream_alert_sustained(spark, sf_dir):
-    """Error shares of closed hours, followed by a stream that keeps the alert's state."""
-    ratios = stream_rates.error_ratio(_request_stream(spark, sf_dir), HOUR, HOUR, watermark=600)
-    path = scratch(spark, "ratios")
-    stream_rates.write_available(ratios, path, scratch(spark, "checkpoint")).awaitTermination()
-    figures = spark.readStream.schema(ratios.schema).parquet(path)
-    figures = figures.select(F.lit("all").alias("series"), F.col("window_end").alias("ts"), F.col("ratio").alias("figure"))
-    states = _final(spark, stream_alerts.sustained(figures, ERROR_RULE, HOUR), "states")
-    return rounded(_as_logged(states, "ts", "active_since"), "figure")
+    """States of two rules, one over all requests and one for each endpoint, kept by a stream with timers."""
+    path, schema = _streamed_states(spark, sf_dir)
+    return rounded(_as_logged(spark.read.schema(schema).parquet(path), "ts", "active_since"), "figure")
+
+
+@query
+def stream_alert_episodes(spark, sf_dir):
+    """Closed episodes of both rules, from a stream over the states."""
+    states, schema = _streamed_states(spark, sf_dir)
+    sent = stream_alerts.announced(spark.readStream.schema(schema).parquet(states), HOUR)
+    path = scratch(spark, "notices")
+    stream_alerts.write_available(sent, path, scratch(spark, "checkpoint")).awaitTermination()
+    closed = stream_alerts.episodes(spark.read.schema(sent.schema).parquet(path))
+    return _as_logged(closed, "started_at", "ended_at", "resolved_at")
+
+
+@query
+def ts_alert_states_by_endpoint(spark, sf_dir):
+    """The rule on slow requests for each endpoint, as a table."""
+    slow = {"slow": (F.col("latency") > SLOW_SECONDS).cast("long"), "total": F.lit(1).cast("long")}
+    hours = ts.event_counts(src.requests(spark, sf_dir), ["endpoint"], HOUR, HOUR, slow)
+    cond = monitoring.exceeds(hours.withColumn("figure", ts.ratio(F.col("slow"), F.col("total"))), SLOW_RULE)
+    states = monitoring.alert_states(cond, SLOW_RULE, ["endpoint"], HOUR)
+    return rounded(states.select("alert", "severity", F.col("endpoint").alias("series"), "ts", "figure", "state", "active_since"), "figure")

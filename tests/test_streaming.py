@@ -1,4 +1,6 @@
 import datetime as dt
+import math
+import random
 import time
 
 import pytest
@@ -40,23 +42,67 @@ def test_stream_in_batches_equals_the_batch(spark, sf_dir, tmp_path):
     assert sorted(map(tuple, got.select(*expected.columns).collect())) == sorted(map(tuple, expected.collect()))
 
 
-def test_sustained_stream_equals_the_batch_across_restarts(spark, tmp_path):
-    rule = Rule("x", "warning", 0.5, 2 * HOUR)
-    start = dt.datetime(2024, 1, 1)
-    shares = [0.1, 0.9, 0.8, 0.7, 0.6, 0.2, 0.9, None, 0.9, 0.9, 0.9]
-    hours = [0, 1, 2, 3, 4, 5, 6, 7, 8, 12, 13]
-    schema = "series string, ts timestamp, figure double"
-    figures = spark.createDataFrame([("all", start + dt.timedelta(hours=h), s) for h, s in zip(hours, shares)], schema)
-    folder = str(tmp_path / "figures")
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
-    cut = start + dt.timedelta(hours=2)
-    for part in (figures.filter(F.col("ts") <= F.lit(cut)), figures.filter(F.col("ts") > F.lit(cut))):
-        part.coalesce(1).write.mode("append").parquet(folder)
-        states = alerts.sustained(spark.readStream.schema(schema).parquet(folder), rule, HOUR)
-        rates.write_available(states, out, checkpoint).awaitTermination()
-    got = spark.read.parquet(out).select("ts", "state", "active_since").orderBy("ts").collect()
-    batch = ts.sustained(figures.withColumn("holds", F.col("figure") > rule.threshold), ["series"], rule.hold, HOUR)
-    assert got == batch.select("ts", "state", "active_since").orderBy("ts").collect()
+RULES = {"down": Rule("down", "critical", 0.5, 2 * HOUR), "slow": Rule("slow", "warning", 0.3, HOUR)}
+START = dt.datetime(2024, 1, 1)
+FIGURES = "alert string, severity string, series string, ts timestamp, figure double, threshold double, hold long"
+
+
+def evaluations(spark):
+    """Two rules, three series each: gaps, missing figures, a series that goes silent and comes back."""
+    rnd = random.Random(4)
+    made = []
+    for rule in RULES.values():
+        for series in ("a", "b", "c"):
+            for hour in range(60):
+                if (series == "b" and 20 <= hour < 45) or rnd.random() < 0.08:
+                    continue
+                figure = None if rnd.random() < 0.05 else round(0.5 + 0.5 * math.sin(hour / 4 + ord(series)) + rnd.uniform(-0.1, 0.1), 3)
+                made.append((rule.alert, rule.severity, series, START + dt.timedelta(hours=hour), figure, rule.threshold, rule.hold))
+    return made
+
+
+def stepwise(spark, parts, folder, schema, build, tmp_path, name):
+    """Each part arrives and is processed by a run of its own, which takes up the state of the one before."""
+    out, checkpoint = str(tmp_path / f"{name}-out"), str(tmp_path / f"{name}-cp")
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        df = build(spark.readStream.schema(schema).parquet(folder))
+        alerts.write_available(df, out, checkpoint).awaitTermination()
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def test_alert_streams_equal_the_batch_across_restarts(spark, tmp_path):
+    made = evaluations(spark)
+    late = START + dt.timedelta(hours=22)
+    # Cut in the middle of conditions; some evaluations arrive a run late, within the watermark, all in no order.
+    first = [r for r in made if r[3] <= START + dt.timedelta(hours=24) and not (r[3] == late and r[2] == "a")]
+    second = [r for r in made if START + dt.timedelta(hours=24) < r[3] <= START + dt.timedelta(hours=40) or (r[3] == late and r[2] == "a")]
+    third = [r for r in made if r[3] > START + dt.timedelta(hours=40)]
+    rnd = random.Random(1)
+    parts = [rnd.sample(p, len(p)) for p in (first, second, third)]
+    watermark = 3 * HOUR
+    states = stepwise(spark, parts, str(tmp_path / "figures"), FIGURES, lambda s: alerts.sustained(s, HOUR, watermark), tmp_path, "states")
+    seen = START + dt.timedelta(hours=59) - dt.timedelta(seconds=watermark)
+    table = spark.createDataFrame(made, FIGURES).withColumn("holds", F.col("figure") > F.col("threshold"))
+    batch = []
+    for rule in RULES.values():
+        batch.append(ts.sustained(table.filter(F.col("alert") == rule.alert), ["alert", "series"], rule.hold, HOUR))
+    batch = batch[0].union(batch[1]).filter(F.col("ts") <= F.lit(seen)).cache()
+    columns = ["alert", "series", "ts", "figure", "state", "active_since"]
+    assert sorted(map(str, states.select(*columns).collect())) == sorted(map(str, batch.select(*columns).collect()))
+    assert {r["state"] for r in batch.collect()} == {"inactive", "pending", "firing"}
+
+    # The states as a second stream, in two runs.
+    rows = [tuple(r) for r in states.select("alert", "severity", "series", "ts", "state").collect()]
+    halves = [[r for r in rows if r[3] <= START + dt.timedelta(hours=30)], [r for r in rows if r[3] > START + dt.timedelta(hours=30)]]
+    schema = "alert string, severity string, series string, ts timestamp, state string"
+    sent = stepwise(spark, halves, str(tmp_path / "states-in"), schema, lambda s: alerts.announced(s, HOUR), tmp_path, "sent")
+    want = ts.episodes(batch, ["alert", "severity"], 3600, HOUR)
+    closed = want.filter("resolved_at is not null").select("alert", "severity", "started_at", "ended_at", "resolved_at", "notices")
+    assert closed.count() > 4
+    assert sorted(map(str, alerts.episodes(sent).collect())) == sorted(map(str, closed.collect()))
+    notices = sent.filter("kind = 'notice'").groupBy("alert", "started_at").agg(F.count(F.lit(1)).alias("n"), F.max("notices").alias("last"))
+    assert {(r["alert"], r["started_at"]): r["n"] for r in notices.collect()} == {(r["alert"], r["started_at"]): r["notices"] for r in want.collect()}
 
 
 def test_late_rows_are_counted_within_the_watermark(spark, tmp_path):
