@@ -143,6 +143,30 @@ def metrics() -> dict[str, str]:
                FROM (SELECT endpoint, ts, sum(d) AS d FROM d GROUP BY ALL)""",
             changes,
         ),
+        "ts_counter_error_ratio": _with(
+            """SELECT window_start, window_end, round(sum(CASE WHEN status_code = '500' THEN increase ELSE 0 END) / nullif(sum(increase), 0), 6) AS figure
+               FROM g GROUP BY ALL""",
+            _counters("status_code, endpoint, instance", "1"), _windows("c", 6), _growth("status_code, endpoint, instance"),
+        ),
+        "ts_counter_quantile": _with(
+            f"""SELECT window_start, window_end, round(min_by(CASE WHEN le = {_INF} THEN under
+                    ELSE under + (le - under) * (0.95 * total - before) / (bucket - before) END, le) FILTER (WHERE bucket >= 0.95 * total AND total > 0), 6) AS figure
+                FROM (SELECT *, lag(le, 1, 0) OVER o AS under, lag(bucket, 1, 0) OVER o AS before, max(bucket) OVER (PARTITION BY window_start) AS total
+                      FROM (SELECT window_start, window_end, le, sum(increase) AS bucket FROM g GROUP BY ALL)
+                      WINDOW o AS (PARTITION BY window_start ORDER BY le))
+                GROUP BY ALL""",
+            f"""c AS (SELECT le, endpoint, ts, CAST(sum(n) OVER (PARTITION BY le, endpoint, CAST(ts AS DATE) ORDER BY ts) AS DOUBLE) AS value
+                FROM (SELECT le, endpoint, date_trunc('hour', ts) AS ts, count(*) FILTER (WHERE latency <= le) AS n
+                      FROM r, (SELECT unnest([5, 25, 50, 100, 200, {_INF}]) AS le) GROUP BY ALL))""",
+            _windows("c", 6), _growth("le, endpoint"),
+        ),
+        "ts_memory_pct": _with(
+            """SELECT endpoint AS instance, date_trunc('hour', ts) AS ts, min(latency) AS free, round(sum(latency), 6) AS whole,
+                   round((1 - min(latency) / nullif(sum(latency), 0)) * 100, 6) AS figure FROM r GROUP BY ALL"""
+        ),
+        "stream_counter_rate": _rate("endpoint, instance", "1", "endpoint").replace(
+            "FROM g GROUP BY ALL", "FROM g WHERE window_end <= (SELECT max(ts) FROM c) GROUP BY ALL"
+        ),
         "stream_rate_by_label": _with(f"SELECT * FROM ({rate3}) WHERE {_closed}", _windows("r", 3)),
         "stream_error_ratio": _with(
             f"""SELECT * FROM (SELECT {span}, {error} AS errores, count(*) AS total, round({error} / count(*), 6) AS ratio

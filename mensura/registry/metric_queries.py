@@ -12,6 +12,7 @@ from mensura.registry.base import query, rounded
 from mensura.session import scratch
 from mensura.sources import driver_tables as src
 from mensura.streaming import alerts as stream_alerts
+from mensura.streaming import counters as stream_counters
 from mensura.streaming import rates as stream_rates
 
 HOUR, DAY = 3600, 86400
@@ -19,6 +20,7 @@ HOUR, DAY = 3600, 86400
 ERROR_RULE = Rule("ErrorRateAlto", "warning", 0.2, 2 * HOUR)
 AUTH_RULE = Rule("TasaAutenticacionFallida", "warning", 0.2, HOUR)
 SLOW_RULE, SLOW_SECONDS = Rule("LatenciaForecastAlta", "warning", 0.4, HOUR), 30
+COUNTED_BOUNDS = (5.0, 25.0, 50.0, 100.0, 200.0)
 SPAN = ["window_start", "window_end"]
 
 
@@ -224,3 +226,42 @@ def ts_alert_states_by_endpoint(spark, sf_dir):
     cond = monitoring.exceeds(hours.withColumn("figure", ts.ratio(F.col("slow"), F.col("total"))), SLOW_RULE)
     states = monitoring.alert_states(cond, SLOW_RULE, ["endpoint"], HOUR)
     return rounded(states.select("alert", "severity", F.col("endpoint").alias("series"), "ts", "figure", "state", "active_since"), "figure")
+
+
+@query
+def stream_counter_rate(spark, sf_dir):
+    """Growth per second of request counters that restart every day, from a stream of samples."""
+    samples = _counters(src.requests(spark, sf_dir), ["endpoint", "instance"], F.lit(1))
+    source = scratch(spark, "samples")
+    samples.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(source)
+    series, path = ["endpoint", "instance"], scratch(spark, "growth")
+    grown = stream_counters.growth(stream_rates.read_stream(spark, source), series, 6 * HOUR)
+    stream_alerts.write_available(grown, path, scratch(spark, "checkpoint")).awaitTermination()
+    rates = stream_counters.rate(spark.readStream.schema(grown.schema).parquet(path), ["endpoint"], series, 6 * HOUR, HOUR)
+    return rounded(_as_logged(_final(spark, rates, "rates"), *SPAN), "rate")
+
+
+@query
+def ts_counter_error_ratio(spark, sf_dir):
+    """Share of errors, from request counters that restart every day."""
+    log = src.requests(spark, sf_dir)
+    samples = _counters(log, ["status_code", "endpoint", "instance"], F.lit(1))
+    return rounded(monitoring.counter_error_ratio(samples, ["status_code", "endpoint", "instance"], 6 * HOUR, HOUR), "figure")
+
+
+@query
+def ts_counter_quantile(spark, sf_dir):
+    """95 % latency from cumulative bucket counters that restart every day."""
+    edges = [*[(str(b), b) for b in COUNTED_BOUNDS], ("+Inf", float("inf"))]
+    le = F.explode(F.array(*[F.struct(F.lit(n).alias("le"), F.lit(float(b)).alias("edge")) for n, b in edges]))
+    log = src.requests(spark, sf_dir).withColumn("b", le).select("*", "b.le", "b.edge")
+    samples = _counters(log, ["le", "endpoint"], (F.col("latency") <= F.col("edge")).cast("long"))
+    return rounded(monitoring.counter_latency_quantile(samples, ["le", "endpoint"], 0.95, 6 * HOUR, HOUR), "figure")
+
+
+@query
+def ts_memory_pct(spark, sf_dir):
+    """Used share of two gauges per host and hour: the least latency as what is free, the sum as the whole."""
+    hours = src.requests(spark, sf_dir).withColumn("ts", ts.pane_of("ts", HOUR))
+    gauges = hours.groupBy(F.col("endpoint").alias("instance"), "ts").agg(F.min("latency").alias("free"), F.sum("latency").alias("whole"))
+    return rounded(monitoring.memory_used(gauges, "free", "whole"), "figure", "whole")

@@ -10,7 +10,7 @@ from mensura.operators import timeseries as ts
 from mensura.plans import monitoring as mon
 from mensura.plans.monitoring import Rule
 from mensura.sources import driver_tables as src
-from mensura.streaming import alerts, rates
+from mensura.streaming import alerts, counters, rates
 
 HOUR = 3600
 
@@ -105,6 +105,43 @@ def test_alert_streams_equal_the_batch_across_restarts(spark, tmp_path):
     assert {(r["alert"], r["started_at"]): r["n"] for r in notices.collect()} == {(r["alert"], r["started_at"]): r["notices"] for r in want.collect()}
 
 
+def test_counter_stream_equals_the_batch_with_resets_across_triggers(spark, tmp_path):
+    """Counters that restart, samples of one instant, a silent series; triggers cut between a sample and its restart."""
+    rnd = random.Random(9)
+    made = []
+    for series in ("a", "b", "c"):
+        value = 0.0
+        for minute in range(0, 900, 20):
+            if series == "b" and 300 <= minute < 620:
+                continue
+            value = rnd.uniform(0, 3) if rnd.random() < 0.15 else value + rnd.uniform(0, 9)
+            made.append((series, START + dt.timedelta(minutes=minute), round(value, 2)))
+            if rnd.random() < 0.1:
+                made.append((series, START + dt.timedelta(minutes=minute), round(value + 1, 2)))
+                value += 1
+    late = [r for r in made if r[1] == START + dt.timedelta(minutes=260)]
+    parts = [
+        [r for r in made if r[1] < START + dt.timedelta(minutes=300) and r not in late],
+        [r for r in made if START + dt.timedelta(minutes=300) <= r[1] < START + dt.timedelta(minutes=700)] + late,
+        [r for r in made if r[1] >= START + dt.timedelta(minutes=700)],
+    ]
+    schema, watermark = "series string, ts timestamp, value double", HOUR
+    parts = [rnd.sample(p, len(p)) for p in parts]
+    grown = stepwise(spark, parts, str(tmp_path / "samples"), schema, lambda s: counters.growth(s, ["series"], 3 * HOUR, watermark), tmp_path, "growth")
+    seen = START + dt.timedelta(minutes=880) - dt.timedelta(seconds=watermark)
+    known = spark.createDataFrame([r for r in made if r[1] <= seen], schema)
+    assert grown.count() == known.select("series", "ts").distinct().count()
+
+    stream = spark.readStream.schema(grown.schema).parquet(str(tmp_path / "growth-out"))
+    for by in (["series"], []):
+        got = run(spark, counters.rate(stream, by, ["series"], 3 * HOUR, HOUR), tmp_path, f"rates{len(by)}")
+        last = grown.agg(F.max("ts")).first()[0]
+        want = ts.rate(known, ["series"], 3 * HOUR, HOUR, by).filter(F.col("window_end") <= F.lit(last))
+        pick = [*by, "window_start", "window_end", F.round("rate", 9).alias("rate")]
+        assert want.count() > 10
+        assert sorted(map(str, got.select(*pick).collect())) == sorted(map(str, want.select(*pick).collect()))
+
+
 def test_late_rows_are_counted_within_the_watermark(spark, tmp_path):
     t0 = dt.datetime(2024, 1, 1)
     folder = str(tmp_path / "log")
