@@ -29,6 +29,13 @@ def loads() -> dict[str, str]:
         "backfill_window": _range("1999-05-01", "1999-05-31"),
         "bronze_merge_by_period": sql(_corrected, "bp"),
         "stream_bronze_merge": sql(_corrected, "bp"),
+        "stream_bronze_mixed_headers": sql(_corrected, "bp"),
+        "file_blocks_changed": """
+            WITH n AS (SELECT c_custkey AS k, c_name FROM customer), a AS (SELECT k, c_name, CAST(sum(strlen(c_name) + 1) OVER (ORDER BY k) AS BIGINT) - strlen(c_name) - 1 AS pos FROM n),
+            z AS (SELECT CAST(sum(strlen(c_name) + 1) AS BIGINT) AS pos FROM n),
+            old AS (SELECT DISTINCT pos // 1024 AS b FROM a),
+            hit AS (SELECT pos // 1024 AS b FROM a WHERE k = 3 AND c_name LIKE '%C%' UNION SELECT pos // 1024 FROM z)
+            SELECT CASE WHEN b IN (SELECT b FROM old) THEN 'changed' ELSE 'added' END AS change, count(*) AS bloques, min(b) * 1024 AS primero FROM hit GROUP BY 1""",
         "backfill_idempotent": sql(f"SELECT anio, mes, {_totals} FROM bp GROUP BY anio, mes", "bp"),
         "bronze_full_replace": sql("SELECT * REPLACE (cota + 1 AS cota) FROM bw", "bw"),
         "bronze_load_metadata": sql(

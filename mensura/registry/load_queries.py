@@ -12,10 +12,14 @@ from mensura.schemas import BRONZE_POZOS, BRONZE_PRODUCCION
 from mensura.session import scratch
 from mensura.sources import driver_tables as src
 from mensura.sources.csv import scan_csv
-from mensura.sources.files import file_fingerprints, read_table
+from mensura.sources.files import changed_blocks, file_blocks, file_fingerprints, read_table
 from mensura.streaming.landing import merge_landing
 
 
+#: Small blocks, so that a table of names has many.
+NAME_BLOCK = 1024
+
+
 def _drop_csv(df, path):
     """Write a raw drop with untrimmed texts; missing values appear as the text ``NA``."""
     spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -147,3 +151,30 @@ def stream_bronze_merge(spark, sf_dir):
     stream = merge_landing(spark, landing, target, scratch(spark, "checkpoint"), BRONZE_PRODUCCION)
     stream.awaitTermination()
     return _per_period(_bronze(spark, target))
+
+
+@query
+def stream_bronze_mixed_headers(spark, sf_dir):
+    """A full drop lands, and a corrected year with its columns in another order and two unknown ones."""
+    rows = Layers(spark, sf_dir).bronze_produccion()
+    landing, target, checkpoint = (scratch(spark, n) for n in ("landing", "bronze", "checkpoint"))
+    _drop_csv(rows, f"{landing}/1-full")
+    corrected = load.period_filter(rows, dt.date(1998, 1, 1), dt.date(1998, 12, 1)).withColumn("prod_pet", F.col("prod_pet") + 1)
+    other = [F.lit("x").alias("nota"), *[F.col(c) for c in reversed(BRONZE_PRODUCCION.names)], F.lit(1).alias("version")]
+    _drop_csv(corrected.select(*other), f"{landing}/2-corrected")
+    merge_landing(spark, landing, target, checkpoint, BRONZE_PRODUCCION).awaitTermination()
+    return _per_period(_bronze(spark, target))
+
+
+@query
+def file_blocks_changed(spark, sf_dir):
+    """Blocks of a file of customer names that differ after one name has another letter and one is added."""
+    names = src.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    edited = names.withColumn("c_name", F.when(F.col("c_custkey") == 3, F.translate("c_name", "C", "c")).otherwise(F.col("c_name")))
+    more = edited.union(spark.createDataFrame([(1 << 40, "Customer#added")], "c_custkey long, c_name string"))
+    drops = []
+    for rows in (names, more):
+        drop = scratch(spark, "names")
+        rows.coalesce(1).sortWithinPartitions("c_custkey").select("c_name").write.text(drop)
+        drops.append(file_blocks(spark, drop, NAME_BLOCK).withColumn("path", F.lit("names")))
+    return changed_blocks(*drops).groupBy("change").agg(F.count(F.lit(1)).alias("bloques"), F.min("start").alias("primero"))

@@ -1,13 +1,20 @@
 """CSV drops, read by header name and typed without inference."""
 
 from collections.abc import Iterable
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mensura.sources import store
+from mensura.sources.files import list_files
+
+#: Files whose first lines the driver reads at a time.
+HEADERS_AT_ONCE = 16
+
 # Texts that stand for "no value" in a CSV drop.
 NA_VALUES = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -86,12 +93,13 @@ def scan_csv_files(spark: SparkSession, paths: list[str], schema: T.StructType,
     Files with one header are one scan, so a drop of many like files stays one.
     The driver reads the first line of each file, no more.
     """
-    lines = spark.read.text(paths, recursiveFileLookup=True)
-    at = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    first = lines.where(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("file"), at.alias("at"), "value")
-    headers = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    like = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
-    scans = [scan_csv(spark, sorted(_plain(f) for f in r["files"]), schema, multiline=multiline, with_file=True) for r in like]
+    files = [_plain(r["path"]) for r in list_files(spark, paths).select("path").collect()]
+    like: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for file, header in zip(files, pool.map(partial(store.first_line, spark), files), strict=True):
+            if header is not None:
+                like.setdefault(header, []).append(file)
+    scans = [scan_csv(spark, sorted(own), schema, multiline=multiline, with_file=True) for own in like.values()]
     if not scans:
         empty = scan_csv(spark, paths, schema, multiline=multiline, with_file=True)
         return empty

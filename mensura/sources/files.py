@@ -1,18 +1,133 @@
-"""File fingerprints and reads with a declared schema."""
+"""File fingerprints by blocks, and reads with a declared schema."""
 
+import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mensura.session import scratch
 
-def file_fingerprints(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Path and MD5 of every file, to see whether a source changed between loads.
+#: Bytes of a block.  A file of one block has its plain MD5.
+BLOCK = 256 << 20
 
-    The path is that of the metadata column, so it joins with the rows of any
-    scan.  Spark reads a file as one value, at most 2 GB; it fails on a larger one.
-    """
+# Whether a file begins with a byte order mark, which the scan skips, and whether it ends with a line
+# break, shows only in its size; a block is hashed for each case that its place allows.
+_MARK = b"\xef\xbb\xbf"
+_BLOCKS = "path string, start long, bytes long, lines long, md5 string, md5_open string, md5_mark string, md5_mark_open string"
+_NAMES = ("path", "start", "bytes", "lines", "md5", "md5_open", "md5_mark", "md5_mark_open")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block: its lines, with and without the last line break, in the order in which the scan reads them."""
+    key, plain, marked, size, lines = None, None, None, 0, 0
+
+    def done() -> pa.RecordBatch:
+        row = {"path": key[0], "start": key[1], "bytes": size, "lines": lines}
+        for name, whole in (("md5", plain), ("md5_mark", marked)):
+            closed = whole.copy()
+            closed.update(b"\n")
+            row |= {name: closed.hexdigest(), f"{name}_open": whole.hexdigest()}
+        return pa.RecordBatch.from_pylist([{f: row[f] for f in _NAMES}])
+
+    for batch in batches:
+        path, start, value = (batch.column(c) for c in ("path", "start", "value"))
+        # Blocks follow one another: a border is where path or start changes.
+        change = [0, *(i for i in range(1, batch.num_rows) if start[i] != start[i - 1] or path[i] != path[i - 1])] if not _same(path, start) else [0]
+        for a, b in zip(change, [*change[1:], batch.num_rows]):
+            if a == b:
+                continue
+            joined = b"\n".join(value.slice(a, b - a).to_pylist())
+            own = (path[a].as_py(), start[a].as_py())
+            if own != key:
+                if key is not None:
+                    yield done()
+                key, size, lines = own, 0, 0
+                plain, marked = hashlib.md5(usedforsecurity=False), hashlib.md5(_MARK, usedforsecurity=False)
+            else:
+                joined = b"\n" + joined
+            plain.update(joined)
+            marked.update(joined)
+            lines += b - a
+            size += len(joined) + (lines == b - a)  # the break behind the last line counts
+    if key is not None:
+        yield done()
+
+
+def _same(path: pa.Array, start: pa.Array) -> bool:
+    """A batch of one block, as nearly all are."""
+    return len(path) == 0 or (pc.min_max(start)["min"] == pc.min_max(start)["max"] and len(pc.unique(path)) == 1)
+
+
+@contextmanager
+def _blocks_of(spark: SparkSession, size: int):
+    """Scans cut files at multiples of ``size``, whatever the cluster and the other files are."""
+    wanted = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Path and size of every file; no content is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.col("_metadata.file_path").alias("path"), F.md5("content").alias("md5"))
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("size"))
+
+
+def file_blocks(spark: SparkSession, path: str | list[str], block: int = BLOCK) -> DataFrame:
+    """Path, start, bytes, lines and MD5 of every block of every file.
+
+    A block holds the lines that begin in its range of bytes, so blocks are tasks of their
+    own and a changed byte changes its block.  The result is written to the shared
+    folder: the files are read once.  A line must fit in memory; a compressed file is one
+    block of what it unpacks to.  An empty file has no block, as it has no rows.
+    """
+    raw = spark.read.text(path, lineSep="\n", recursiveFileLookup=True)
+    lines = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
+    out = scratch(spark, "blocks")
+    with _blocks_of(spark, block):
+        lines.mapInArrow(_digests, _BLOCKS).write.parquet(out)
+    found = spark.read.schema(_BLOCKS).parquet(out)
+    last = found.groupBy("path").agg(F.max("start").alias("last"), F.sum("bytes").alias("read"))
+    rows = found.join(last, "path").join(list_files(spark, path), "path")
+    over = F.col("size") - F.col("read")  # 3 more with a mark, 1 less without a break at the end
+    mark = over.isin(2, 3) & (F.col("start") == 0)
+    left_open = over.isin(-1, 2) & (F.col("start") == F.col("last"))
+    md5 = F.when(mark & left_open, F.col("md5_mark_open")).when(mark, F.col("md5_mark")).when(left_open, F.col("md5_open"))
+    size = F.col("bytes") + 3 * mark.cast("long") - left_open.cast("long")
+    return rows.select("path", "start", size.alias("bytes"), "lines", F.coalesce(md5, F.col("md5")).alias("md5"))
+
+
+def file_fingerprints(spark: SparkSession, path: str | list[str], block: int = BLOCK) -> DataFrame:
+    """Path and fingerprint of every file, to see whether a source changed between loads.
+
+    The path is that of the metadata column, so it joins with the rows of any scan.  A file
+    of one block has its MD5; a larger one the MD5 of its blocks' MD5s by offset, and their number behind it.
+    """
+    parts = file_blocks(spark, path, block).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("start", "md5"))).alias("b"))
+    many = F.concat(F.md5(F.array_join(F.transform("b", lambda x: x["md5"]), "")), F.lit("-"), F.size("b").cast("string"))
+    return parts.select("path", F.when(F.size("b") == 1, F.col("b")[0]["md5"]).otherwise(many).alias("md5"))
+
+
+def changed_blocks(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Blocks of the same files that differ: path, start, and ``change`` (``changed``, ``added``, ``gone``).
+
+    A file that was only appended to has one changed block at most, its last one before, and added ones.
+    """
+    was = before.select("path", "start", F.col("md5").alias("was"))
+    now = after.select("path", "start", F.col("md5").alias("now"))
+    both = was.join(now, ["path", "start"], "full").where(~F.col("was").eqNullSafe(F.col("now")))
+    kind = F.when(F.col("was").isNull(), "added").when(F.col("now").isNull(), "gone").otherwise("changed")
+    return both.select("path", "start", kind.alias("change"))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

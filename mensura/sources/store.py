@@ -79,3 +79,15 @@ def put(spark: SparkSession, path: str, content: str) -> None:
         stream.write(bytearray(content.encode()))
     finally:
         stream.close()
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, unpacked where its name says so; nothing behind it is read."""
+    store = _Store(spark, path)
+    codec = store.jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(store.conf).getCodec(store.path)
+    stream = store.fs.open(store.path)
+    try:
+        unpacked = codec.createInputStream(stream) if codec else stream
+        return store.jvm.java.io.BufferedReader(store.jvm.java.io.InputStreamReader(unpacked, "UTF-8")).readLine()
+    finally:
+        stream.close()

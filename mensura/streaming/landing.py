@@ -10,15 +10,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mensura.functions import coerced_period
 from mensura.operators.load import PERIOD, replace_partitions
-from mensura.sources.csv import NA_VALUES, typed_columns
+from mensura.sources.csv import FILE_PATH, scan_csv_files
 
 DELIVERY = "_delivery"
 
 
-def delivery_of(folder: str) -> Column:
-    """Name of the file or sub-folder right under the landing folder that a row came with."""
+def _delivery(path: Column, folder: str) -> Column:
+    """Name of the file or sub-folder right under the landing folder."""
     name = os.path.basename(folder.rstrip("/"))
-    return F.regexp_extract(F.col("_metadata.file_path"), f"/{re.escape(name)}/([^/]+)", 1)
+    return F.regexp_extract(path, f"/{re.escape(name)}/([^/]+)", 1)
 
 
 def newest_delivery(rows: DataFrame) -> DataFrame:
@@ -30,18 +30,18 @@ def newest_delivery(rows: DataFrame) -> DataFrame:
     return rows.join(latest, [*PERIOD, DELIVERY], "left_semi")
 
 
-def read_landing(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """Stream of typed rows from CSV files with a header, in the declared column order."""
-    texts = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
-    raw = (
-        spark.readStream.schema(texts)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("recursiveFileLookup", True)
-        .csv(folder)
-    )
-    return raw.select(*typed_columns(raw, schema, NA_VALUES), delivery_of(folder).alias(DELIVERY))
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def landed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Stream of the files that land; their content is not read here."""
+    return spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", True).load(folder).select("path")
+
+
+def landed_rows(spark: SparkSession, folder: str, files: list[str], schema: T.StructType) -> DataFrame:
+    """Typed rows of landed CSV files, each read by its own header, with the delivery they came with."""
+    rows = scan_csv_files(spark, files, schema)
+    return rows.select(*schema.names, _delivery(F.col(FILE_PATH), folder).alias(DELIVERY))
 
 
 def merge_landing(
@@ -51,22 +51,24 @@ def merge_landing(
 
     A delivery is one file or one sub-folder of any number of files.  It
     carries whole periods and appears at once (it is moved in when complete), and
-    names sort in order of arrival.  A trigger takes all that has arrived, so a
+    names sort in order of arrival.  Files may differ in the order and number of their columns.  A trigger takes all that has arrived, so a
     delivery is never cut in two.  A replayed batch overwrites the same
     periods with the same rows.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        # Kept for the three uses below, so the files are read once; lost blocks are read again.
-        sound = batch.filter(coerced_period().isNotNull()).persist()
-        try:
-            if not sound.isEmpty():
-                replace_partitions(newest_delivery(sound).drop(DELIVERY), target, PERIOD)
-        finally:
-            sound.unpersist()
+        here = batch.sparkSession
+        files = [r["path"] for r in batch.collect()]
+        if not files:
+            return
+        sound = landed_rows(here, folder, files, schema).filter(coerced_period().isNotNull())
+        several = here.createDataFrame([(f,) for f in files], "f string").select(_delivery(F.col("f"), folder)).distinct().count() > 1
+        # One delivery is read once and written; several are read twice, first for the newest of each period.
+        newest = newest_delivery(sound) if several else sound
+        replace_partitions(newest.drop(DELIVERY), target, PERIOD)
 
     return (
-        read_landing(spark, folder, schema)
+        landed_files(spark, folder)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -11,6 +11,7 @@ from mensura.operators import load, versions
 from mensura.schemas import BRONZE_POZOS, BRONZE_PRODUCCION, LOAD_METADATA
 from mensura.session import scratch, shared_root
 from mensura.sources.csv import scan_csv, scan_csv_files
+from mensura.sources import files
 from mensura.sources.files import file_fingerprints, read_table
 from mensura.streaming.landing import merge_landing
 
@@ -180,3 +181,59 @@ def test_files_with_different_headers_are_read_by_name(spark, tmp_path):
     found = rows.as_dicts(scan_csv_files(spark, [str(tmp_path / "a b.csv"), str(tmp_path / "c.csv")], BRONZE_PRODUCCION, multiline=True), "idpozo")
     assert [(found[i]["anio"], found[i]["mes"], found[i]["prod_pet"]) for i in (1, 2)] == [(2019, 1, 5.0), (2026, 2, 7.0)]
     assert found[2]["empresa"] == "Uno\nDos" and found[1]["empresa"] is None
+
+
+def test_blocks_of_a_file_of_many_ranges(spark, tmp_path):
+    import hashlib
+
+    path = tmp_path / "big.csv"
+    lines = [f"{i},{'x' * (i % 37)}\r" for i in range(4000)]
+    path.write_text("\n".join(lines) + "\n", newline="")
+    raw = path.read_bytes()
+    before = files.file_blocks(spark, str(path), 4096).cache()
+    rows = sorted(before.collect(), key=lambda r: r["start"])
+    assert len(rows) > 20 and [r["start"] for r in rows] == [4096 * i for i in range(len(rows))]
+    assert sum(r["bytes"] for r in rows) == len(raw) and sum(r["lines"] for r in rows) == len(lines)
+    at = 0
+    for r in rows:
+        assert r["md5"] == hashlib.md5(raw[at : at + r["bytes"]]).hexdigest()
+        at += r["bytes"]
+    print_of = files.file_fingerprints(spark, str(path), 4096).first()["md5"]
+    assert print_of == f"{hashlib.md5(''.join(r['md5'] for r in rows).encode()).hexdigest()}-{len(rows)}"
+    assert files.file_fingerprints(spark, str(path)).first()["md5"] == hashlib.md5(raw).hexdigest()
+
+    def changes():
+        got = files.changed_blocks(before, files.file_blocks(spark, str(path), 4096)).collect()
+        return sorted((r["start"], r["change"]) for r in got)
+
+    path.write_bytes(raw[:30000] + b"!" + raw[30001:])
+    assert len(changes()) == 1 and changes()[0][1] == "changed" and 0 <= 30000 - changes()[0][0] < 2 * 4096
+    path.write_bytes(raw + b"more\n" * 2000)
+    kinds = [kind for _, kind in changes()]
+    assert kinds.count("changed") <= 1 and set(kinds) == {"changed", "added"} or set(kinds) == {"added"}
+    assert all(start >= rows[-1]["start"] for start, _ in changes())
+
+
+@pytest.mark.parametrize("content", [b"a", b"\xef\xbb\xbfa\nb", b"\xef\xbb\xbfa\n", b"a\n", b"\n", b"a\nb", b"\xff\xfe\x00\n\xff", b"a\r\nb\r\n"])
+def test_fingerprints_are_the_files_md5(spark, tmp_path, content):
+    import hashlib
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "one.csv").write_bytes(content)
+    (tmp_path / "d" / "two.csv").write_bytes(b"other\n" + content)
+    got = {r["path"].rsplit("/", 1)[1]: r["md5"] for r in files.file_fingerprints(spark, str(tmp_path / "d")).collect()}
+    assert got == {"one.csv": hashlib.md5(content).hexdigest(), "two.csv": hashlib.md5(b"other\n" + content).hexdigest()}
+
+
+def test_landed_files_are_read_by_their_own_headers(spark, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / n) for n in ("landing", "bronze", "checkpoint"))
+    raw = [rows.produccion_row(w, "C07", 2024, m, 10.0 * w + m, 1.0, 1.0, 1.0, "N", "A") for w in (1, 2) for m in (1, 2)]
+    declared = rows.produccion(spark, raw)
+    write = lambda df, name: df.coalesce(1).write.option("header", True).option("nullValue", "NA").csv(f"{landing}/{name}")
+    write(declared.filter("mes = 1"), "1-declared")
+    write(declared.filter("mes = 2").select(F.lit("?").alias("extra"), *reversed(declared.columns)), "2-reversed")
+    merge_landing(spark, landing, target, checkpoint, BRONZE_PRODUCCION).awaitTermination()
+    write(declared.filter("mes = 2").withColumn("prod_pet", F.lit(7.0)).drop("tef").select("prod_pet", *[c for c in declared.columns if c not in ("prod_pet", "tef")]), "3-shorter")
+    merge_landing(spark, landing, target, checkpoint, BRONZE_PRODUCCION).awaitTermination()
+    got = sorted((r["idpozo"], r["mes"], r["prod_pet"], r["tef"]) for r in read_table(spark, target, BRONZE_PRODUCCION).collect())
+    assert got == [(1, 1, 11.0, 1.0), (1, 2, 7.0, None), (2, 1, 21.0, 1.0), (2, 2, 7.0, None)]
