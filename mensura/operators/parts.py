@@ -7,11 +7,18 @@ parts of the one before and adds its own, so it costs what has changed.
 
     root/parts/v=<attempt>/table=<name>/<column>=<value>/...
     root/manifests/<run id>
+
+Tables clustered by a key also have an index, written with the parts: the least and
+largest key of every file.  A lookup by key reads the index first, and then only
+the files that can hold the key.
+
+    root/index/v=<attempt>/table=<name>
 """
 
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +58,27 @@ class Manifest:
         return spark.read.schema(schema).option("basePath", f"{self.root}/parts").parquet(*paths).select(*schema.names)
 
 
+    def files(self, spark: SparkSession, table: str, key, parts: Iterable[str] | None = None) -> list[str]:
+        """Files of the table that can hold the key: as many as have it in their range."""
+        own = self.tables.get(table, {})
+        wanted = [p for p in own if parts is None or p in set(parts)]
+        folders = sorted({f"{self.root}/index/v={own[p]}/table={table}" for p in wanted})
+        if not folders:
+            return []
+        paths = spark.createDataFrame([(f"/v={own[p]}/table={table}/{p}" + ("/" if p else ""),) for p in wanted], "inside string")
+        held = spark.read.parquet(*folders).where((F.col("least") <= F.lit(key)) & (F.lit(key) <= F.col("largest")))
+        found = held.join(paths, F.col("path").contains(F.col("inside")), "left_semi").select("path").distinct()
+        return sorted(unquote(r["path"]) for r in found.collect())
+
+    def lookup(self, spark: SparkSession, table: str, schema: T.StructType, column: str, key, parts: Iterable[str] | None = None) -> DataFrame:
+        """The rows of one key, from the files that can hold it."""
+        files = self.files(spark, table, key, parts)
+        if not files:
+            return spark.createDataFrame([], schema)
+        rows = spark.read.schema(schema).option("basePath", f"{self.root}/parts").parquet(*files).select(*schema.names)
+        return rows.where(F.col(column) == F.lit(key))
+
+
 def attempt(run_id: str) -> str:
     """A name of its own for every attempt of a run, so that none finds another's files."""
     return f"{run_id}.{uuid.uuid4().hex[:8]}"
@@ -60,16 +88,19 @@ def write(df: DataFrame, root: str, v: str, table: str, partition_by: Sequence[s
     """Write a table's new parts; the parts that have rows, with their attempt.
 
     ``rebalance`` cuts a hot partition into several files and puts small ones together; ``cluster_by``
-    gives files and row groups key ranges, so a lookup by key skips most of them.
+    gives files and row groups ranges of its first column, which the index keeps.
     """
     spark, path = df.sparkSession, f"{root}/parts/v={v}/table={table}"
-    if partition_by:
+    if cluster_by:
+        df = df.repartitionByRange(*partition_by, *cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
+    elif partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-        if cluster_by:
-            df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    elif cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    if cluster_by:
+        key = F.col(cluster_by[0])
+        written = spark.read.schema(df.schema).parquet(path).groupBy(F.col("_metadata.file_path").alias("path"))
+        ranges = written.agg(F.min(key).alias("least"), F.max(key).alias("largest"), F.count(F.lit(1)).alias("rows"))
+        ranges.coalesce(1).write.mode("overwrite").parquet(f"{root}/index/v={v}/table={table}")
     if not partition_by:
         return {"": v}
     found = [""]

@@ -64,6 +64,23 @@ def reads() -> dict[str, str]:
                WHERE f.anio = 1998 ORDER BY f.fecha_mes DESC NULLS FIRST, f.idpozo LIMIT 500 OFFSET 100""",
             "fp", "de", "da",
         ),
+        "api_produccion_after": sql(
+            """SELECT CAST(f.idpozo AS VARCHAR) AS idpozo, f.anio, f.mes,
+                      strftime(f.fecha_mes, '%Y-%m-%d') AS fecha_mes, de.empresa, da.cuenca, da.provincia,
+                      da.area_yacimiento, f.prod_pet, f.prod_gas, f.prod_agua
+               FROM fp f LEFT JOIN de ON de.empresa_sk = f.empresa_sk LEFT JOIN da ON da.area_sk = f.area_sk
+               WHERE f.fecha_mes < DATE '1998-06-01' OR f.fecha_mes = DATE '1998-06-01' AND f.idpozo > 60
+               ORDER BY f.fecha_mes DESC, f.idpozo LIMIT 500""",
+            "fp", "de", "da",
+        ),
+        "api_produccion_pozo": sql(
+            """SELECT CAST(f.idpozo AS VARCHAR) AS idpozo, f.anio, f.mes,
+                      strftime(f.fecha_mes, '%Y-%m-%d') AS fecha_mes, de.empresa, da.cuenca, da.provincia,
+                      da.area_yacimiento, f.prod_pet, f.prod_gas, f.prod_agua
+               FROM fp f LEFT JOIN de ON de.empresa_sk = f.empresa_sk LEFT JOIN da ON da.area_sk = f.area_sk
+               WHERE f.idpozo = 42 ORDER BY f.fecha_mes DESC LIMIT 50""",
+            "fp", "de", "da",
+        ),
         "api_pozos": sql(
             f"""SELECT * FROM (SELECT {_wells} FROM dp WHERE provincia = 'Neuquén')
                 ORDER BY idpozo LIMIT 200 OFFSET 20""",

@@ -72,7 +72,8 @@ _MODELS = (
     Model(
         "fct_produccion", "gold", ("stg_produccion",),
         lambda t: star.fct_produccion(t["stg_produccion"]),
-        DATA_TEAM, "produccion", ("gold", "fact"), "Monthly production with dimension keys", partition_by=("tiempo_sk",),
+        DATA_TEAM, "produccion", ("gold", "fact"), "Monthly production with dimension keys",
+        partition_by=("tiempo_sk",), cluster_by=("idpozo",),
     ),
     Model(
         "feat_produccion_offline", "gold", ("fct_produccion", "dim_tiempo", "dim_pozo"),

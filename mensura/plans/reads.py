@@ -6,10 +6,11 @@ a hostile value only ever fails to match.
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mensura.schemas import GEOGRAPHY
+from mensura.operators.parts import Manifest
+from mensura.schemas import GEOGRAPHY, TABLES
 
 MAX_PAGE = 1000
 TARGETS = ("prod_pet", "prod_gas")
@@ -85,6 +86,61 @@ def produccion(
     )
 
 
+Cursor = tuple[dt.date, int]
+
+
+def _month(day: dt.date) -> int:
+    return day.year * 100 + day.month
+
+
+def produccion_after(
+    spark: SparkSession,
+    version: Manifest,
+    after: Cursor | None = None,
+    idpozo: str | None = None,
+    limit: int = 100,
+) -> DataFrame:
+    """The page behind a cursor: the month and well of the last row seen; without one, the first page.
+
+    The order is that of ``produccion``, newest month first, then the well.  Nothing is
+    skipped row by row: the cursor is a range over the month folders, and from there
+    as many months are read as the page needs, one first, then twice as many each time.
+    A well's own pages read only the files that can hold it.
+    """
+    if not 1 <= limit <= MAX_PAGE:
+        raise ValueError(f"limit must be 1..{MAX_PAGE}")
+    months = sorted((p for p in version.tables.get("fct_produccion", {}) if p.partition("=")[2].isdigit()), reverse=True)
+    if after is not None:
+        months = [p for p in months if int(p.partition("=")[2]) <= _month(after[0])]
+    newest = [F.col("fecha_mes").desc(), F.col("idpozo").asc()]
+    taken, step = 0, 1
+    while True:
+        taken, step = min(taken + step, len(months)), 2 * step
+        page = _months_page(spark, version, months[:taken], after, idpozo).orderBy(*newest).limit(limit)
+        if taken == len(months) or page.count() == limit:
+            break
+    dims = {n: version.read(spark, n, TABLES[n]) for n in ("dim_empresa", "dim_area")}
+    found = page.join(dims["dim_empresa"], "empresa_sk", "left").join(dims["dim_area"], "area_sk", "left")
+    return found.orderBy(*newest).select(
+        F.col("idpozo").cast("string").alias("idpozo"), "anio", "mes", F.date_format("fecha_mes", "yyyy-MM-dd").alias("fecha_mes"),
+        "empresa", *GEOGRAPHY[1:], GEOGRAPHY[0], "prod_pet", "prod_gas", "prod_agua",
+    )
+
+
+def _months_page(spark: SparkSession, version: Manifest, months: list[str], after: Cursor | None, idpozo: str | None) -> DataFrame:
+    """Rows of the month folders that lie behind the cursor."""
+    schema = TABLES["fct_produccion"]
+    if idpozo is None:
+        rows = version.read(spark, "fct_produccion", schema, months)
+    else:
+        number = int(idpozo) if idpozo.isascii() and idpozo.isdigit() and str(int(idpozo)) == idpozo else None
+        rows = version.lookup(spark, "fct_produccion", schema, "idpozo", number, months) if number is not None else spark.createDataFrame([], schema)
+    if after is not None:
+        day, well = F.lit(after[0]), F.lit(after[1])
+        rows = rows.filter((F.col("fecha_mes") < day) | ((F.col("fecha_mes") == day) & (F.col("idpozo") > well)))
+    return rows
+
+
 _WELL = (
     "sigla",
     "formacion_productiva",

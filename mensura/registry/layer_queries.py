@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from mensura.functions import composite_key, guarded_month, single_key
 from mensura.operators import panel as panels
-from mensura.plans import features, reads, star
+from mensura.plans import features, publish, reads, star
+from mensura.plans.models import MODELS
 from mensura.registry.base import SOFT, SOFT_OFFLINE, Layers, query, rounded
 from mensura.schemas import GEOGRAPHY
+from mensura.session import scratch
 from mensura.sources import driver_tables as src
 
 # --- silver -----------------------------------------------------------------
@@ -194,6 +196,27 @@ def api_produccion(spark, sf_dir):
     return reads.produccion(lay.fct(), lay.dim_empresa(), lay.dim_area(), anio=1998, limit=500, offset=100)
 
 
+def _published(spark, sf_dir):
+    """A published version of the star, without checks."""
+    lay, root = Layers(spark, sf_dir), scratch(spark, "gold")
+    sources = {"bronze_produccion": lay.bronze_produccion(), "bronze_pozos": lay.bronze_pozos()}
+    star_only = {n: m for n, m in MODELS.items() if not n.startswith("feat_")}
+    publish.write_audit_publish(spark, sources, [], root, "v", star_only)
+    return publish.manifest_of(spark, root)
+
+
+@query
+def api_produccion_after(spark, sf_dir):
+    """The page behind a cursor on published tables."""
+    return reads.produccion_after(spark, _published(spark, sf_dir), (dt.date(1998, 6, 1), 60), limit=500)
+
+
+@query
+def api_produccion_pozo(spark, sf_dir):
+    """The newest months of one well, from the files that can hold it."""
+    return reads.produccion_after(spark, _published(spark, sf_dir), idpozo="42", limit=50)
+
+
 @query
 def api_pozos(spark, sf_dir):
     return reads.pozos(Layers(spark, sf_dir).dim_pozo(), provincia="Neuquén", limit=200, offset=20)
