@@ -30,6 +30,17 @@ MIN_COMPLETENESS = 0.30
 MEAN_TOLERANCE = 0.001
 
 
+@dataclass(frozen=True)
+class KeyTest:
+    """What a check asks of the values of one column: to be ``unique``, among ``values``, or keys of a ``parent``."""
+
+    column: str
+    unique: bool = False
+    values: tuple = ()
+    parent: str = ""
+    parent_column: str = ""
+
+
 @dataclass(frozen=True)
 class Check:
     """One check.  Exactly one of ``row`` and ``frame`` is set.
@@ -39,6 +50,8 @@ class Check:
                rows of the table one failing row stands for
     ``weigh``  count ``filas`` rather than failing rows
     ``reads``  tables besides ``table`` that ``frame`` looks at
+    ``keys``   the same as ``frame`` in terms of one column, so that a run counts the
+               keys of all such checks of a table in one pass
     """
 
     name: str
@@ -48,6 +61,7 @@ class Check:
     frame: Callable[[Tables], DataFrame] | None = None
     weigh: bool = False
     reads: tuple[str, ...] = ()
+    keys: KeyTest | None = None
 
 
 class ContractError(TypeError):
@@ -84,8 +98,9 @@ def not_null(table: str, column: str, severity: str = ERROR) -> Check:
 def unique(table: str, column: str, severity: str = ERROR) -> Check:
     """Values that occur more than once; one failure per value."""
     return Check(
-        f"unique_{table}_{column}", table, severity, frame=lambda t: repeated(t[table].dropna(subset=[column]), column)
-    )
+        f"unique_{table}_{column}", table, severity, frame=lambda t: repeated(t[table].dropna(subset=[column]), column),
+        keys=KeyTest(column, unique=True),
+    )
 
 
 def accepted_values(table: str, column: str, values: Sequence, severity: str = ERROR) -> Check:
@@ -95,7 +110,7 @@ def accepted_values(table: str, column: str, values: Sequence, severity: str = E
         rows = t[table].filter(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
         return rows.groupBy(column).agg(F.count(F.lit(1)).alias("filas"))
 
-    return Check(f"accepted_values_{table}_{column}", table, severity, frame=outside)
+    return Check(f"accepted_values_{table}_{column}", table, severity, frame=outside, keys=KeyTest(column, values=tuple(values)))
 
 
 def relationships(table: str, column: str, parent: str, parent_column: str, severity: str = ERROR) -> Check:
@@ -110,8 +125,9 @@ def relationships(table: str, column: str, parent: str, parent_column: str, seve
         return keys.join(known, column, "left_anti")
 
     return Check(
-        f"relationships_{table}_{column}", table, severity, frame=orphans, weigh=True, reads=(parent,)
-    )
+        f"relationships_{table}_{column}", table, severity, frame=orphans, weigh=True, reads=(parent,),
+        keys=KeyTest(column, parent=parent, parent_column=parent_column),
+    )
 
 
 # --- checks of their own ----------------------------------------------------
@@ -313,14 +329,56 @@ def _frame_failures(check: Check, tables: Tables) -> DataFrame:
     )
 
 
-def failures(tables: Tables, checks: Sequence[Check]) -> DataFrame:
-    """Every failing row of every check, as JSON."""
-    by_table: dict[str, list[Check]] = {}
+def _key_failures(table: str, checks: Sequence[Check], tables: Tables) -> DataFrame:
+    """The failing values of all key checks of one table, from one scan and one shuffle.
+
+    Every row gives one (check, value) for each check, counted before they are shuffled, so a
+    hot key is one row from each task; the keys of all parents meet the counts in one join.
+    """
+    df = tables[table]
+    cells = [F.struct(F.lit(i).alias("check"), F.col(c.keys.column).cast("string").alias("value")) for i, c in enumerate(checks)]
+    asked = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where(F.col("value").isNotNull())
+    counts = asked.groupBy("check", "value").agg(F.count(F.lit(1)).alias("filas"))
+    fails = F.lit(False)
+    parents = []
+    for i, c in enumerate(checks):
+        mine = F.col("check") == i
+        if c.keys.unique:
+            fails = fails | (mine & (F.col("filas") > 1))
+        elif c.keys.parent:
+            known = tables[c.keys.parent].select(F.lit(i).alias("check"), F.col(c.keys.parent_column).cast("string").alias("value"))
+            parents.append(known.where(F.col("value").isNotNull()).distinct().withColumn("known", F.lit(True)))
+            fails = fails | (mine & F.col("known").isNull())
+        else:
+            fails = fails | (mine & ~F.col("value").isin([str(v) for v in c.keys.values]))
+    if parents:
+        counts = counts.join(reduce(DataFrame.unionByName, parents), ["check", "value"], "left")
+
+    def each(of: Callable[[Check], Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("check") == i, of(c)) for i, c in enumerate(checks)])
+
+    def as_json(c: Check) -> Column:
+        return F.to_json(F.struct(F.col("value").cast(df.schema[c.keys.column].dataType).alias(c.keys.column), "filas"), {"ignoreNullFields": "false"})
+
+    return counts.where(fails).select(
+        each(lambda c: F.lit(c.name)).alias("check_name"), F.lit(table).alias("table_name"), each(lambda c: F.lit(c.severity)).alias("severity"),
+        each(lambda c: F.col("filas") if c.weigh else F.lit(1).cast("long")).alias("failed"), each(as_json).alias("row"),
+    )
+
+
+def _by_table(checks: Sequence[Check]) -> dict[str, list[Check]]:
+    groups: dict[str, list[Check]] = {}
     for check in checks:
-        if check.row is not None:
-            by_table.setdefault(check.table, []).append(check)
-    parts = [_row_failures(tables[name], group) for name, group in by_table.items()]
-    parts += [_frame_failures(c, tables) for c in checks if c.frame is not None]
+        groups.setdefault(check.table, []).append(check)
+    return groups
+
+
+def failures(tables: Tables, checks: Sequence[Check]) -> DataFrame:
+    """Every failing row of every check, as JSON: one pass over a table for its row checks, one for its key checks."""
+    keyed = [c for c in checks if c.keys is not None]
+    parts = [_row_failures(tables[name], group) for name, group in _by_table([c for c in checks if c.row is not None]).items()]
+    parts += [_key_failures(name, group, tables) for name, group in _by_table(keyed).items()]
+    parts += [_frame_failures(c, tables) for c in checks if c.frame is not None and c.keys is None]
     return reduce(DataFrame.unionByName, parts)
 
 

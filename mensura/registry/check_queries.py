@@ -172,7 +172,7 @@ def wap_publish(spark, sf_dir):
 
 
 #: Months of the batch of ``wap_incremental``: a corrected one, and the last ones, which the first version lacks.
-CORRECTED, LATEST = dt.date(1995, 3, 1), dt.date(1998, 9, 1)
+CORRECTED, LATEST = dt.date(1999, 3, 1), dt.date(2001, 10, 1)
 
 
 @query

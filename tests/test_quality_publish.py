@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,3 +173,33 @@ def test_published_layout_prunes(spark, green, tmp_path):
     filters = [line for line in rows.formatted_plan(page).splitlines() if line.startswith("PartitionFilters")]
     assert any("202401" in line and "202412" in line for line in filters)
     assert "EqualTo(idpozo,2)" in rows.formatted_plan(reads.pozo(tables["dim_pozo"], "2"))
+
+
+def test_key_checks_of_a_table_are_one_pass(spark):
+    """Hot, repeated, missing and unknown keys: the one pass finds what each check finds by itself."""
+    child = spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (1, 13, None), (None, 2, "b"), (7, None, "c"), (7, 14, "c")], "k long, mes int, s string")
+    tables = {"child": child, "one": spark.createDataFrame([(1,), (2,), (None,)], "id int"), "two": spark.createDataFrame([("a",), ("a",)], "id string")}
+    checks = [
+        quality.relationships("child", "k", "one", "id"), quality.relationships("child", "s", "two", "id", quality.WARN),
+        quality.unique("child", "s"), quality.accepted_values("child", "mes", quality.MONTHS), quality.unique("two", "id"),
+    ]
+    together = quality.failures(tables, checks)
+    alone = quality.failures(tables, [replace(c, keys=None) for c in checks])
+    key = ["check_name", "table_name", "severity", "failed", "row"]
+    assert sorted(map(tuple, together.select(*key).collect())) == sorted(map(tuple, alone.select(*key).collect()))
+    assert {r["check_name"]: r["n"] for r in together.groupBy("check_name").agg(F.sum("failed").alias("n")).collect()} == {
+        "relationships_child_k": 2, "relationships_child_s": 3, "unique_child_s": 2, "accepted_values_child_mes": 2, "unique_two_id": 1,
+    }
+    plan = rows.formatted_plan(quality.failures({**tables, "child": child}, checks[:4]))
+    assert plan.count("Generate (") <= 2 * 1 + 1
+
+
+def test_a_fact_is_scanned_once_for_all_its_keys(spark, green, tmp_path):
+    root = str(tmp_path / "gold")
+    publish.write_audit_publish(spark, green, [], root, "r")
+    tables = publish.published(spark, root)
+    keyed = [c for c in quality.star_checks() if c.keys is not None and c.table == "fct_produccion"]
+    assert len(keyed) == 4
+    plan = rows.formatted_plan(quality.failures(tables, keyed))
+    scans = [line for line in plan.splitlines() if line.startswith("Location:") and "table=fct_produccion" in line]
+    assert len(scans) == 1
