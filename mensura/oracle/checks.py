@@ -209,6 +209,11 @@ def checks() -> dict[str, str]:
         "dq_report": _report(),
         "wap_publish": sql(_counts(", TRUE AS primera, FALSE AS segunda"), *_published),
         "wap_incremental": sql("SELECT * FROM fo", "fo"),
+        "published_views": sql(
+            """SELECT dt.anio, de.id_empresa, count(*) AS filas, sum(f.prod_pet) AS total_petroleo
+               FROM fp f JOIN dt ON dt.tiempo_sk = f.tiempo_sk JOIN de ON de.empresa_sk = f.empresa_sk GROUP BY dt.anio, de.id_empresa""",
+            "fp", "dt", "de",
+        ),
         "layer_counts": sql(_counts(", TRUE AS pruebas_bien"), *_published),
         "catalog_table": _catalog(),
         "lineage_edges": _lineage(),

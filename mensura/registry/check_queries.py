@@ -200,6 +200,19 @@ def layer_counts(spark, sf_dir):
     return counts.withColumn("pruebas_bien", passed)
 
 
+@query
+def published_views(spark, sf_dir):
+    """The published tables as views, asked in SQL."""
+    lay, root = Layers(spark, sf_dir), scratch(spark, "gold")
+    sources = {"bronze_produccion": lay.bronze_produccion(), "bronze_pozos": lay.bronze_pozos()}
+    publish.write_audit_publish(spark, sources, [], root, "v")
+    publish.register_views(spark, root)
+    return spark.sql("""
+        SELECT t.anio, e.id_empresa, count(*) AS filas, sum(f.prod_pet) AS total_petroleo
+        FROM fct_produccion f JOIN dim_tiempo t ON t.tiempo_sk = f.tiempo_sk JOIN dim_empresa e ON e.empresa_sk = f.empresa_sk
+        GROUP BY t.anio, e.id_empresa""")
+
+
 @query
 def catalog_table(spark, sf_dir):
     root, _ = _publish(spark, sf_dir)

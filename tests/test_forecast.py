@@ -33,6 +33,23 @@ def test_exact_quantiles_narrow_in_rounds(spark, monkeypatch):
     assert found == pytest.approx(expected)
 
 
+def test_a_bracket_that_misses_is_drawn_again(spark, monkeypatch):
+    """A sketch that answers wrongly costs a round, not the result."""
+    monkeypatch.setattr(quantile, "RANKABLE", 20)
+    real, tries = quantile._narrowed, []
+
+    def wrong_at_first(df, counts, bracket, *rest):
+        tries.append(1)
+        return {c: (0.0, 10.0) for c in counts} if len(tries) == 1 else real(df, counts, bracket, *rest)
+
+    monkeypatch.setattr(quantile, "_narrowed", wrong_at_first)
+    df = spark.range(1000).select(F.col("id").cast("double").alias("a"))
+    assert exact_quantiles(df, ["a"], 0.5) == {"a": 499.5} and len(tries) > 1
+    monkeypatch.setattr(quantile, "_narrowed", lambda df, counts, *rest: {c: (0.0, 10.0) for c in counts})
+    with pytest.raises(RuntimeError, match="no bracket"):
+        exact_quantiles(df, ["a"], 0.5)
+
+
 def test_quantile_of_counts(spark):
     df = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "v int, n long")
     assert quantile_of_counts(df, "v", "n", 0.8).first()["quantile"] == pytest.approx(2.6)
