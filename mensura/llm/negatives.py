@@ -34,6 +34,7 @@ from mensura.llm.components import stored
 TILE = 1024  # rows of a tile
 GROUP = 16  # tiles that one block reads, on average
 ANCHORS = 1024  # anchors of one block, on average
+BLOCK_BYTES = 32 << 20  # vectors of either side of a block, on average, where they are long
 LEAF = 16  # sides up to here are multiplied directly
 SHIFT = 11  # bits that the order within a tile takes below a score
 LIMIT = 1 << 52
@@ -247,8 +248,13 @@ def hard_negatives(spark: SparkSession, rows: DataFrame, positives: int = 5, neg
     """
     grid = stored(tiles(rows), "tiles")
     anchors = stored(grid.where(F.exists("anchors", lambda a: a)).select("tile", "width", "most", "ids", "labels", "anchors", "vectors").mapInArrow(_unpack, _ANCHOR), "anchors")
-    n_tiles, n_anchors = grid.count(), anchors.count()
-    sides = max(1, -(-n_anchors // ANCHORS)), max(1, -(-n_tiles // GROUP))
+
+    def groups(side: DataFrame, vectors: str, rows: int) -> int:
+        """How many groups a side is dealt to, so that a group has neither too many rows nor too many bytes."""
+        size = side.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(vectors)), F.lit(0)).alias("b")).first()
+        return max(1, -(-size["n"] // rows), -(-size["b"] // BLOCK_BYTES))
+
+    sides = groups(anchors, "vector", ANCHORS), groups(grid, "vectors", GROUP)
     ours, theirs = (F.pmod(F.xxhash64(c), F.lit(n)).cast("int") for c, n in zip(("key", "tile"), sides, strict=True))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     right = grid.withColumn("theirs", theirs).withColumn("ours", every(sides[0])).groupBy("ours", "theirs")

@@ -85,6 +85,13 @@ def test_negatives_equal_brute_force(spark, vectors, monkeypatch, tile, group, a
     assert got == mine([*sound(vectors)]) and len({r[0] for r in got}) > 5 and len({r[2] for r in got}) == 3
 
 
+def test_blocks_are_bounded_by_bytes(spark, vectors, monkeypatch):
+    """Long vectors make more and smaller groups; the result stays."""
+    monkeypatch.setattr(negatives, "BLOCK_BYTES", 400)
+    df = spark.createDataFrame(vectors, "vec_id long, label int, embedding array<float>").repartition(4)
+    assert sorted(map(tuple, negatives.mined(spark, df).collect()), key=by_null) == mine([*sound(vectors)])
+
+
 def test_negatives_of_nothing(spark, vectors):
     schema = "vec_id long, label int, embedding array<float>"
     assert negatives.mined(spark, spark.createDataFrame([], schema)).count() == 0
