@@ -24,7 +24,7 @@ for U+2581, which the model reads as a blank.  Rows are handled one by one.
 
 import zlib
 from collections.abc import Iterator
-from functools import partial
+from functools import cached_property, lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,8 @@ from mensura.session import scratch
 # Fixed value: the mark of a blank.
 BLANK = "▁"
 CHUNK = 64 << 10
-PAIRS, WORDS = 1 << 18, 1 << 18  # pairs of pieces and words that a task remembers
+PAIRS, WORDS = 1 << 18, 1 << 20  # pairs of pieces and words that a Python worker remembers
+SOLVED = 1 << 18  # words of huge texts that it remembers
 NEVER = -np.inf
 
 
@@ -144,10 +145,27 @@ class Pieces:
             out.append([n for p in pieces for n in self.number(p)])
         return out
 
+    @cached_property
+    def memo(self) -> sg.Memo:
+        """Ids of the words of short texts."""
+        return sg.Memo(self.word_ids, WORDS)
+
+    @cached_property
+    def solve(self):
+        """Pieces of parts of huge texts."""
+        return solver(self)
+
+    @cached_property
     def decoder(self) -> "Decoder":
         return Decoder(self)
 
 
+@lru_cache(maxsize=2)
+def kept_pieces(path: str) -> Pieces:
+    """The vocabulary of this Python worker, which Spark reuses for many tasks: what one task learns of words spares the next ones."""
+    return Pieces(path)
+
+
 class Decoder:
     """Bytes of all pieces in one array, so that ids turn into bytes array-wise."""
 
@@ -205,8 +223,8 @@ def checksum(ids: np.ndarray, before: int = 0) -> int:
 
 def _encode_short(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of texts of one chunk."""
-    pieces = Pieces(path)
-    memo = sg.Memo(pieces.word_ids, WORDS)
+    pieces = kept_pieces(path)
+    memo = pieces.memo
     for batch in batches:
         for block in tx.blocks(batch, "__text", size=tx.BLOCK_BYTES // 2):
             padded = with_first_blank(block)
@@ -327,7 +345,7 @@ def solver(pieces: Pieces):
     known: dict[str, list[str]] = {}
 
     def solve(text: str) -> list[str]:
-        if len(known) > WORDS:
+        if len(known) > SOLVED:
             known.clear()
         places = [0, *stops(text, pieces.joined), len(text)]
         out = []
@@ -369,12 +387,11 @@ def chosen(matrices: list[np.ndarray]) -> list[int]:
 
 
 def _matrices(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pieces = Pieces(path)
-    solve = solver(pieces)
+    pieces = kept_pieces(path)
     for batch in batches:
         cells = []
         for r in batch.select(["a", "b", "piece"]).to_pylist():
-            chunk = Chunk(pieces, r["piece"], r["a"], r["b"], solve)
+            chunk = Chunk(pieces, r["piece"], r["a"], r["b"], pieces.solve)
             m = chunk.matrix()
             cells.append((m.shape[0], m.shape[1], np.packbits(m == 0).tobytes()))
         yield pa.RecordBatch.from_arrays(
@@ -391,12 +408,11 @@ def _choose(table: pa.Table) -> pa.Table:
 
 
 def _trace(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pieces = Pieces(path)
-    solve = solver(pieces)
+    pieces = kept_pieces(path)
     for batch in batches:
         ids = []
         for r in batch.select(["a", "b", "piece", "left", "right"]).to_pylist():
-            chunk = Chunk(pieces, r["piece"], r["a"], r["b"], solve)
+            chunk = Chunk(pieces, r["piece"], r["a"], r["b"], pieces.solve)
             ids.append([n for p in chunk.path(r["left"], r["right"]) for n in pieces.number(p)])
         yield pa.RecordBatch.from_arrays([batch.column("number"), batch.column("chunk"), pa.array(ids, pa.list_(pa.int32()))], names=["number", "chunk", "ids"])
 
@@ -410,7 +426,7 @@ def encode(spark: SparkSession, documents: DataFrame, model: str, chunk: int = C
     path = scratch(spark, "huge-texts")
     rows.where(F.length("__text") >= chunk).select(F.monotonically_increasing_id().alias("number"), "__row", "__text").write.parquet(path)
     huge = spark.read.schema(rows.select("__row").schema.add("number", "long").add("__text", "string")).parquet(path)
-    reach = Pieces(model).longest
+    reach = kept_pieces(model).longest
     cut = huge.select("number", "__text").mapInArrow(partial(_chunks, chunk, reach), "number long, chunk long, chunks long, a long, b long, piece string").repartition("number", "chunk")
     found = cut.mapInArrow(partial(_matrices, model), "number long, chunk long, n long, m long, cells binary")
     states_of = found.groupBy("number").applyInArrow(lambda table: _choose(table), "number long, chunk long, left long, right long")
@@ -421,7 +437,7 @@ def encode(spark: SparkSession, documents: DataFrame, model: str, chunk: int = C
 
 
 def _decode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    decoder = Pieces(path).decoder()
+    decoder = kept_pieces(path).decoder
     for batch in batches:
         keep = [i for i, n in enumerate(batch.schema.names) if n != "ids"]
         column = batch.column("ids")
