@@ -99,3 +99,39 @@ def test_identifier_tags_inside_prose():
     for tokens in ("a or b and c with d", "( a or b ) and c", "a", "( ( a ) )"):
         assert licenses.longest(tokens.split()) == len(tokens.split())
     assert [licenses.longest(t.split()) for t in ("a or", "or a", "( a", "a )", "a b", "( )", "")] == [1, 0, 0, 1, 1, 0, 0]
+
+
+def test_words_after_a_tag_in_prose_name_no_licence():
+    for line in (
+        "the SPDX-License-Identifier tag helps", "put an SPDX-License-Identifier in each file", "SPDX-License-Identifier", "SPDX-License-Identifier 2024",
+        "an SPDX-License-Identifier well-known to all", "SPDX-License-Identifier: see below", "SPDX-License-Identifier:\nMIT-0",
+    ):
+        assert scan(line)[5:9] == ("", 0.3, "", ""), line
+    assert scan("an SPDX-License-Identifier MIT and more of it")[5:8] == ("mit", 1.0, "mit")
+    assert scan("the spdx license\nidentifier GPL-3.0-only or own words")[5:8] == ("gpl-3", 1.0, "gpl-3.0-only")
+    assert scan("SPDX-License-Identifier: Info-ZIP OR LicenseRef-own")[5] == "info-zip,licenseref-own"
+    assert scan("x SPDX-License-Identifier: MIT SPDX-License-Identifier: ISC y")[5:8] == ("isc,mit", 1.0, "mit ; isc")
+
+
+def test_expressions_tell_what_no_choice_avoids():
+    assert scan("SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0")[8] == "gpl-2"
+    assert scan("SPDX-License-Identifier: (MIT AND ISC) OR (ISC AND Zlib)")[8] == "isc"
+    for tokens in ("a and ( b or c )", "a", "a or b", "( a and b or a and c ) and d with e", "( a or b ) and ( a or c )", "a or"):
+        value, options = licenses.evaluated(tokens.split()), licenses.alternatives(tokens.split())
+        assert (value is None) == (options is None)
+        if options:
+            assert value[0] == frozenset().union(*options)
+            assert value[1] == frozenset.intersection(*options)
+    many = " and ".join(f"( mit or x-{i} )" for i in range(400))
+    assert len(licenses.evaluated(many.split())[0]) == 401
+
+
+def test_license_labels_equal_brute_force(messy, spark):
+    phrases = {**licenses.BASE, **licenses.MORE}
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    more = [(200 + i, f"Some words, {p.title()}! {q} and the rest") for i, (p, q) in enumerate(zip(phrases, reversed(phrases), strict=True))]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(spark.createDataFrame(more, "doc_id long, text string")).collect()}
+    for i, t in more:
+        flat = f" {' '.join(word.findall(t.lower()))} "
+        held = {p for p in phrases if f" {p} " in flat}
+        assert got[i] == (",".join(sorted({phrases[p] for p in held})), 0.9 if held & set(licenses.BASE) else 0.6)
