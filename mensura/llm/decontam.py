@@ -175,5 +175,6 @@ def overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all their columns, whose doc_id no overlap names."""
-    found = overlaps(documents, benchmark).select(F.col("doc_id").alias("__found")).distinct()
-    return documents.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__found")), "left_anti")
+    rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    found = overlaps(documents, benchmark).select(F.col("doc_id").alias("found")).distinct()
+    return rows.join(found, F.col("id").eqNullSafe(F.col("found")), "left_anti").select("row.*")
