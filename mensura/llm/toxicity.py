@@ -14,13 +14,14 @@ of both kinds the score is the share of toxic labels, or 0 without any.
 """
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mensura.llm import text as tx
 
@@ -188,38 +189,28 @@ def block_scores(block: tx.Block, weights: np.ndarray, intercept: float) -> np.n
     return 1 / (1 + np.exp(-np.clip(margins, -40, 40)))
 
 
-def _score(packed: bytes, intercept: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    weights = np.frombuffer(zlib.decompress(packed), np.float32)
-    for batch in map(tx.with_text, batches):
-        keep = [i for i, n in enumerate(batch.schema.names) if n != "__text"]
-        for block in tx.blocks(batch, "__text", lower=True):
-            own = batch.slice(block.lo, len(block))
-            yield pa.RecordBatch.from_arrays(
-                [*(own.column(i) for i in keep), pa.array(block_scores(block, weights, intercept))],
-                names=[*(batch.schema.names[i] for i in keep), "__score"],
-            )
+def chance(model: tuple[bytes, float]) -> Callable[[Column], Column]:
+    """The chance of label 1 of a text column.  Only the texts travel to Python; the rows wait beside it and may spill."""
+    packed, intercept = model
 
+    @F.arrow_udf(T.DoubleType())
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        weights = np.frombuffer(zlib.decompress(packed), np.float32)
+        for text in texts:
+            blocks = tx.blocks(pa.RecordBatch.from_arrays([text], names=["text"]), lower=True)
+            yield pa.array(np.concatenate([np.empty(0), *(block_scores(b, weights, intercept) for b in blocks)]))
 
-def scored(rows: DataFrame, model: tuple[bytes, float]) -> DataFrame:
-    """All columns of the rows but `__text`, and `__score`, the chance of label 1.
-
-    Without a column `__text`, the text is that of the struct `__row`.
-    """
-    schema = rows.drop("__text").withColumn("__score", F.lit(0.0)).schema
-    return rows.mapInArrow(partial(_score, *model), schema)
+    return scores
 
 
 def toxicity(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     model = train(documents, labels)
-    rows = scored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("__text")), model)
-    return rows.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
-        (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"),
-    )
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), chance(model)(F.col("text").cast("string")).alias("score"))
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def without_toxic(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, all their columns, whose predicted label is 0; one scan, no shuffle."""
     model = train(documents, labels)
-    return scored(documents.select(F.struct(*documents.columns).alias("__row")), model).where(F.col("__score") < THRESHOLD).select("__row.*")
+    return documents.where(chance(model)(F.col("text").cast("string")) < THRESHOLD)
