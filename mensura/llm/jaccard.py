@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mensura.llm import bloom
 from mensura.llm import text as tx
@@ -434,18 +435,21 @@ def one_of_each(spark: SparkSession, documents: DataFrame) -> DataFrame:
     named = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     verdicts = joined(spark, named.select("doc_id", "text"))
     kept = verdicts.where("root is not null and doc_id <=> component_id").groupBy("root").agg(F.min("doc_id").alias("keep_id"), F.min("cid").alias("keep_cid"))
-    marked = named.select("row", "doc_id", F.col("text").alias("__text")).mapInArrow(partial(_marked, ("row", "doc_id")), named.select("row", "doc_id").schema.add("__n", "long").add("__cid", "long"))
-    chosen = marked.join(kept.select("keep_id", "keep_cid"), (F.col("__cid") == F.col("keep_cid")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).where("__n > 0")
+    # Only the texts travel to Python.  A filter would repeat a deterministic function, so this one is not called that.
+    marked = named.select("row", "doc_id", _mark.asNondeterministic()("text").alias("mark"))
+    chosen = marked.join(kept.select("keep_id", "keep_cid"), (F.col("mark.cid") == F.col("keep_cid")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).where("mark.n > 0")
     single = chosen.dropDuplicates(["keep_cid"]).select("row.*")
-    return single.unionByName(marked.where("__n = 0").select("row.*"))
+    return single.unionByName(marked.where("mark.n = 0").select("row.*"))
 
 
-def _marked(carry: tuple[str, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block in tx.blocks(batch, "__text", lower=True):
+@F.arrow_udf(T.StructType().add("n", "long").add("cid", "long"))
+def _mark(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Size and class of each text's set."""
+    for text in texts:
+        n, cid = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        for block in tx.blocks(pa.RecordBatch.from_arrays([text], names=["text"]), lower=True):
             of, h = block_sets(block)
             bounds = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(block)))])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).slice(block.lo, len(block)) for c in carry), pa.array(np.diff(bounds)), pa.array(folded(h, bounds, 1).view(np.int64))],
-                names=[*carry, "__n", "__cid"],
-            )
+            n.append(np.diff(bounds))
+            cid.append(folded(h, bounds, 1))
+        yield pa.StructArray.from_arrays([pa.array(np.concatenate(n).astype(np.int64)), pa.array(np.concatenate(cid).view(np.int64))], names=["n", "cid"])

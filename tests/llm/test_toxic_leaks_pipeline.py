@@ -3,10 +3,11 @@ import zlib
 import numpy as np
 import pytest
 from llm_words import words
+from pyspark.sql import functions as F
 from llm_fixtures import messy, nothing, texts  # noqa: F401
 
 import corpus_pipeline
-from mensura.llm import decontam, jaccard, queries, toxicity
+from mensura.llm import decontam, jaccard, lines, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -130,6 +131,18 @@ def test_clean_keeps_all_columns(spark, messy, nothing):
     assert decontam.clean(messy, bench.limit(0)).count() == messy.count()
 
 
+def test_stages_keep_columns_with_clashing_names(spark, messy):
+    names = ["__found", "found", "id", "__row", "__text", "__score", "mark", "n", "cid", "keep_id", "item_id", "b_item_id", "c_doc_id", "cases", "item"]
+    docs = messy.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    first = messy.where("doc_id = 0").first().text
+    bench = spark.createDataFrame([(1, first)], "item_id long, text string")
+    labels = spark.createDataFrame([(0, 0)], "doc_id long, toxic int")
+    for kept in (decontam.clean(docs, bench), jaccard.one_of_each(spark, docs), toxicity.without_toxic(spark, docs, labels), lines.without_repeats(docs, emptied=False)):
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert rows and all([r[n] for n in names] == list(range(len(names))) for r in rows)
+
+
 def test_every_operator_has_one_query():
     names = sorted(queries.queries())
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
