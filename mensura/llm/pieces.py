@@ -40,7 +40,7 @@ from mensura.session import scratch
 # Fixed value: the mark of a blank.
 BLANK = "▁"
 CHUNK = 64 << 10
-PAIRS, WORDS = 1 << 18, 1 << 20  # pairs of pieces and words that a Python worker remembers
+PAIRS, WORDS = 1 << 17, 1 << 19  # pairs of pieces and words that a Python worker remembers
 SOLVED = 1 << 18  # words of huge texts that it remembers
 NEVER = -np.inf
 
@@ -155,10 +155,6 @@ class Pieces:
         """Pieces of parts of huge texts."""
         return solver(self)
 
-    @cached_property
-    def decoder(self) -> "Decoder":
-        return Decoder(self)
-
 
 @lru_cache(maxsize=2)
 def kept_pieces(path: str) -> Pieces:
@@ -189,6 +185,12 @@ class Decoder:
         return [raw[a:b].decode("utf-8", "replace")[1:] for a, b in zip(at, at[1:], strict=False)]
 
 
+@lru_cache(maxsize=2)
+def kept_decoder(path: str) -> Decoder:
+    """The bytes of all pieces, for this Python worker; the vocabulary itself is not kept for them."""
+    return Decoder(Pieces(path))
+
+
 def traced(last: list[str | None], place: int) -> list[str]:
     """The pieces up to a place, from the last one of each."""
     out = []
@@ -437,7 +439,7 @@ def encode(spark: SparkSession, documents: DataFrame, model: str, chunk: int = C
 
 
 def _decode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    decoder = kept_pieces(path).decoder
+    decoder = kept_decoder(path)
     for batch in batches:
         keep = [i for i, n in enumerate(batch.schema.names) if n != "ids"]
         column = batch.column("ids")
