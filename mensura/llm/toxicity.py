@@ -15,7 +15,6 @@ of both kinds the score is the share of toxic labels, or 0 without any.
 
 import zlib
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
