@@ -81,6 +81,27 @@ def test_ties_and_pure_nodes(spark):
     assert by_word.splits[1].category == "x" and by_word.leaves == {2: 3.0, 3: 1.0}
 
 
+def test_rows_are_never_the_copied_side_of_a_join(spark, monkeypatch):
+    """The unfolded cells look as small as their file; only the panes may be broadcast."""
+    plans, best = [], tree._best
+    monkeypatch.setattr(tree, "_best", lambda df: plans.append(rows.formatted_plan(df)) or best(df))
+    monkeypatch.setattr(type(spark.range(1)), "approxQuantile", None)  # its sketches would go to the driver, one for each task
+    df = spark.createDataFrame([(float(i % 7), float(i)) for i in range(60)], "label double, a double").repartition(3)
+    model = tree.grow(df, "label", ["a"], [], {"a": 0.0}, "", 1, stored, 4)
+    assert model.splits and len(plans) == 2
+    joins = [line for line in plans[1].splitlines() if "BroadcastHashJoin Inner" in line]
+    assert any("BuildRight" in line for line in joins)
+    lines = plans[1].splitlines()
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line and ":" in line:
+            deeper = []
+            for below in lines[i + 1 :]:
+                if len(below) - len(below.lstrip(" :+-")) <= len(line) - len(line.lstrip(" :+-")):
+                    break
+                deeper.append(below)
+            assert not any("Generate" in below for below in deeper)
+
+
 def test_two_promotions_in_one_moment(spark, tmp_path, monkeypatch):
     """Both runs saw no model in use; the second one to write is refused and its forecasts are not written."""
     root = str(tmp_path / "promotions")
