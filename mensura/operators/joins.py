@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 SALTS = 4
 
 
-def lookup(rows: DataFrame, dim: DataFrame, left_key: str, right_key: str, spread: str) -> DataFrame:
-    """Left lookup of ``dim`` (unique on its key) that tolerates hot keys.
+def lookup(rows: DataFrame, dim: DataFrame, left_key: str, right_key: str, spread: str | None = None) -> DataFrame:
+    """Left lookup of ``dim`` (unique on its key).
 
-    ``spread`` names a column of ``rows`` with many values; its hash is the salt.
-    Spark still broadcasts ``dim`` when its measured size allows.
+    Without ``spread`` both sides are dealt by the key, so a step behind that needs the
+    rows by the same key takes no exchange of its own, and ``dim`` travels once; the
+    adaptive skew join splits a hot key.  Spark broadcasts ``dim`` where its measured size
+    allows; a caller whose files are much smaller than their rows asks for a hint.
+
+    ``spread`` names a column of ``rows`` with many values; its hash is a salt, and
+    ``dim`` is copied for each salt.
     """
+    if spread is None:
+        return rows.join(dim, rows[left_key] == dim[right_key], "left")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     copies = dim.select("*", salts.alias("_copy"))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))

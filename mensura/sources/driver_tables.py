@@ -19,14 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bronze_produccion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as raw monthly production (the grain repeats, texts are untrimmed)."""
+    """Line items as raw monthly production (the grain repeats, texts are untrimmed).
+
+    Wells come last and never by broadcast: their names pack well, so a file says little about the
+    memory that its rows need on the driver.  The rows then lie by well, which is how the
+    deduplication and the panel want them.
+    """
     items = table(spark, sf_dir, "lineitem")
     operators = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
     provinces = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     wells = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    raw = lookup(items, operators, "l_suppkey", "s_suppkey", spread="l_orderkey")
-    raw = lookup(raw, provinces, "s_nationkey", "n_nationkey", spread="l_orderkey")
-    raw = lookup(raw, wells, "l_partkey", "p_partkey", spread="l_orderkey")
+    raw = lookup(items, operators, "l_suppkey", "s_suppkey")
+    raw = lookup(raw, provinces, "s_nationkey", "n_nationkey")
+    raw = lookup(raw, wells.hint("shuffle_hash"), "l_partkey", "p_partkey")
 
     company = F.when(F.col("s_acctbal") < 0, F.lit("  ")).otherwise(
         F.concat(F.lit(" EMP"), F.col("l_suppkey").cast("string"), F.lit(" "))

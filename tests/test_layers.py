@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 import rows
 from mensura.operators import panel as panels
 from mensura.plans import features, silver, star
+from mensura.registry.base import Layers
+from mensura.sources import driver_tables
 
 JAN, FEB = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
 
@@ -165,3 +167,10 @@ def test_features_take_one_shuffle_on_the_well(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
+def test_wells_are_no_broadcast_and_rows_are_dealt_once(spark, sf_dir):
+    """A file of wells is much smaller than its rows; bronze, silver and panel need the rows by well only."""
+    spread = [line for line in rows.formatted_plan(driver_tables.bronze_produccion(spark, sf_dir)).splitlines() if "Generate" in line]
+    assert spread == []
+    plan = Layers(spark, sf_dir).base()._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and all("partkey" in line for line in exchanges)
