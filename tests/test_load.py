@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import hashlib
 
 import pytest
@@ -214,6 +215,30 @@ def test_blocks_of_a_file_of_many_ranges(spark, tmp_path):
     assert all(start >= rows[-1]["start"] for start, _ in changes())
 
 
+@pytest.mark.parametrize(("mark", "end"), [(b"", b"\n"), (b"", b""), (b"\xef\xbb\xbf", b"\n"), (b"\xef\xbb\xbf", b"")])
+def test_small_blocks_share_a_split(spark, tmp_path, monkeypatch, mark, end):
+    """Blocks of one split and of several are those of a split for each block, in few tasks; packed files stay whole."""
+    raw = mark + b"\n".join(b"%d %s" % (i, b"x" * (i * i % 90)) for i in range(3000)) + end
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.txt").write_bytes(raw)
+    (tmp_path / "d" / "b.txt.gz").write_bytes(gzip.compress(raw))
+    (tmp_path / "d" / "c.txt").write_bytes(b"a\n" * 2048)  # lines begin on borders
+
+    def found(split):
+        monkeypatch.setattr(files, "SPLIT", split)
+        return sorted(tuple(r) for r in files.file_blocks(spark, str(tmp_path / "d"), 1024).collect())
+
+    alone, several, one = found(1024), found(16 * 1024), found(32 << 20)
+    assert len(alone) > 60 and alone == several == one
+    kept = sum(r[2] for r in one if r[0].endswith("a.txt"))
+    assert kept == len(raw) and sum(r[0].endswith(".gz") for r in one) == 1
+    tracker, group = spark.sparkContext.statusTracker(), f"blocks-{mark}-{end}"
+    spark.sparkContext.setJobGroup(group, "")
+    files.file_blocks(spark, str(tmp_path / "d"), 1024)
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert sum(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) < 40
+
+
 @pytest.mark.parametrize("content", [b"a", b"\xef\xbb\xbfa\nb", b"\xef\xbb\xbfa\n", b"a\n", b"\n", b"a\nb", b"\xff\xfe\x00\n\xff", b"a\r\nb\r\n"])
 def test_fingerprints_are_the_files_md5(spark, tmp_path, content):
     import hashlib
