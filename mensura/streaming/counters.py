@@ -1,9 +1,11 @@
 """Reset-aware growth of counters as a stream.
 
-Samples arrive in any order within the watermark.  Timers bring each series' samples
-back in time order, and each becomes its growth since the sample before, which may
-have come with an earlier batch or before a restart.  Growth goes to panes, and panes
-to sliding windows: a window counts a growth only if both samples lie in it.
+Samples arrive in any order within the watermark.  A timer of each series brings all its samples
+that the watermark has passed back at once; in time order each becomes its growth since the sample
+before, which may have come with an earlier batch or before a restart.  So state is read and written
+once for each series and trigger, and a series' waiting samples must fit in a task's memory.
+Growth goes to panes, and panes to sliding windows: a window counts a growth only if both
+samples lie in it.
 """
 
 from collections.abc import Sequence
@@ -21,32 +23,47 @@ def _differ(names: Sequence[str], silence: int):
     class Differ(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.waiting = handle.getMapState("waiting", "at long", "least double, most double")
+            self.waiting = handle.getListState("waiting", "at long, least double, most double")
             self.memory = handle.getValueState("memory", "at long, value double")
 
         def handleInputRows(self, key, rows, timerValues):
+            came = {}
             for row in rows:
-                least = most = row.value
-                if self.waiting.containsKey((row.at,)):  # samples of one instant count as rising
-                    known = self.waiting.getValue((row.at,))
-                    least, most = min(least, known[0]), max(most, known[1])
-                self.waiting.updateValue((row.at,), (least, most))
-                self.handle.registerTimer(row.at)
+                least, most = came.get(row.at, (row.value, row.value))  # samples of one instant count as rising
+                came[row.at] = (min(least, row.value), max(most, row.value))
+            if came:
+                self.waiting.appendList([(at, *ends) for at, ends in came.items()])
+                self.handle.registerTimer(min(came))
             yield from ()
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            at = expiredTimerInfo.getExpiryTimeInMs()
+            fired, passed = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+            due, rest = {}, []
+            for at, least, most in self.waiting.get():
+                if at <= max(fired, passed):
+                    known = due.get(at, (least, most))
+                    due[at] = (min(least, known[0]), max(most, known[1]))
+                else:
+                    rest.append((at, least, most))
             before, value = self.memory.get() if self.memory.exists() else (None, None)
-            if not self.waiting.containsKey((at,)):
-                if before is not None and at - before >= silence:
+            if not due:
+                if before is not None and fired - before >= silence:
                     self.memory.clear()  # no window reaches back to the last sample
                 return
-            least, most = self.waiting.getValue((at,))
-            self.waiting.removeKey((at,))
-            grown = 0.0 if value is None else least - value if least >= value else least
-            self.memory.update((at, most))
-            self.handle.registerTimer(at + silence)
-            yield Row(**dict(zip(names, key, strict=True)), at=at, before=before, grown=grown, inside=most - least)
+            for at in sorted(due):
+                least, most = due[at]
+                if before is not None and at - before > silence:
+                    before, value = None, None
+                grown = 0.0 if value is None else least - value if least >= value else least
+                yield Row(**dict(zip(names, key, strict=True)), at=at, before=before, grown=grown, inside=most - least)
+                before, value = at, most
+            self.memory.update((before, value))
+            self.handle.registerTimer(before + silence)
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(min(at for at, _, _ in rest))
+            else:
+                self.waiting.clear()
 
         def close(self) -> None:
             pass

@@ -2,8 +2,10 @@ import datetime as dt
 import math
 import random
 import time
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from mensura.operators import timeseries as ts
@@ -142,6 +144,41 @@ def test_counter_stream_equals_the_batch_with_resets_across_triggers(spark, tmp_
         assert sorted(map(str, got.select(*pick).collect())) == sorted(map(str, want.select(*pick).collect()))
 
 
+def test_state_calls_of_a_counter_do_not_grow_with_its_samples():
+    """One series with 2 and with 200 samples: as many calls of the state, and each growth once."""
+
+    class State:
+        def __init__(self, calls):
+            self.calls, self.rows = calls, []
+
+        def __getattr__(self, name):
+            def call(*args):
+                self.calls.append(name)
+                if name in ("put", "update"):
+                    self.rows = list(args[0]) if name == "put" else [args[0]]
+                elif name == "appendList":
+                    self.rows += args[0]
+                elif name == "clear":
+                    self.rows = []
+                return {"get": (self.rows[0] if self.rows and len(self.rows[0]) == 2 else list(self.rows)), "exists": bool(self.rows)}.get(name)
+
+            return call
+
+    def calls(n):
+        made, timers = [], []
+        handle = SimpleNamespace(getListState=lambda *a: State(made), getMapState=lambda *a: State(made), getValueState=lambda *a: State(made), registerTimer=lambda at: timers.append(at))
+        own = counters._differ(["s"], 1000)
+        own.init(handle)
+        rows = [Row(at=10 * i, value=float(i)) for i in reversed(range(n))]
+        assert list(own.handleInputRows(("a",), iter(rows), None)) == []
+        first = SimpleNamespace(getExpiryTimeInMs=lambda: min(timers))
+        found = list(own.handleExpiredTimer(("a",), SimpleNamespace(getCurrentWatermarkInMs=lambda: 10**6), first))
+        assert [(r.at, r.before, r.grown) for r in found] == [(10 * i, 10 * i - 10 if i else None, float(i > 0)) for i in range(n)]
+        return len(made) + len(timers)
+
+    assert calls(2) == calls(200) < 12
+
+
 def test_late_rows_are_counted_within_the_watermark(spark, tmp_path):
     t0 = dt.datetime(2024, 1, 1)
     folder = str(tmp_path / "log")
