@@ -12,7 +12,7 @@ def lookup(rows: DataFrame, dim: DataFrame, left_key: str, right_key: str, sprea
 
     Without ``spread`` both sides are dealt by the key, so a step behind that needs the
     rows by the same key takes no exchange of its own, and ``dim`` travels once; the
-    adaptive skew join splits a hot key.  Spark broadcasts ``dim`` where its measured size
+    adaptive skew join splits a hot key only where no such step follows.  Spark broadcasts ``dim`` where its measured size
     allows; a caller whose files are much smaller than their rows asks for a hint.
 
     ``spread`` names a column of ``rows`` with many values; its hash is a salt, and
