@@ -247,3 +247,18 @@ def test_online_check_sends_no_row_but_the_last_ones(spark, layers, tmp_path):
     assert quality.online_differs(on, off).isEmpty()
     twice = off.unionByName(off.filter("idpozo = 1").withColumn("tef_ma3", F.lit(-1.0)))
     assert {r["idpozo"] for r in quality.online_differs(on, twice).collect()} == {1}
+
+
+def test_derived_columns_do_not_travel(spark, layers, tmp_path, monkeypatch):
+    """The exchange of a folder layout carries no column that follows from others, and all values stay."""
+    from mensura.operators import parts
+
+    off = layers["feat_produccion_offline"]
+    model = models.MODELS["feat_produccion_offline"]
+    seen = []
+    hint = type(off).hint
+    monkeypatch.setattr(type(off), "hint", lambda df, *a: (seen.append(df.columns), hint(df, *a))[1])
+    own = publish.write(model, off.select(*model.schema.names), str(tmp_path), "a.1")
+    assert not set(seen[0]) & set(model.derived()) and len(model.derived()) == 7
+    back = parts.Manifest(str(tmp_path), {model.name: own}).read(spark, model.name, model.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, off.select(*model.schema.names).collect()))
