@@ -24,10 +24,11 @@ def _delivery(path: Column, folder: str) -> Column:
 def newest_delivery(rows: DataFrame) -> DataFrame:
     """Per period, the rows of the delivery whose name sorts last.
 
-    Periods are few (sound months only), so the winners are a small table.
+    Periods are few (sound months only, at most ``MAX_MONTHS``), so the winners are a small table,
+    which goes to the rows: these travel once, to their period's file, and not for the comparison too.
     """
     latest = rows.groupBy(*PERIOD).agg(F.max(DELIVERY).alias(DELIVERY))
-    return rows.join(latest, [*PERIOD, DELIVERY], "left_semi")
+    return rows.join(F.broadcast(latest), [*PERIOD, DELIVERY], "left_semi")
 
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"

@@ -2,12 +2,14 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 import rows
 from mensura.operators import joins
 from mensura.plans import features
 from mensura.registry.base import Layers, queries
+from mensura.streaming.landing import DELIVERY, newest_delivery
 
 
 def test_rows_that_stay_by_well_are_dealt_by_their_number(spark, sf_dir, monkeypatch):
@@ -35,3 +37,19 @@ def test_the_wells_master_is_sorted_after_it_is_dealt(spark, sf_dir):
 def test_one_hot_builds_the_online_rows_once(spark, sf_dir):
     plan = rows.formatted_plan(queries()["one_hot"](spark, sf_dir))
     assert "Union" not in plan.split("Generate")[0] and "inline" in plan
+
+
+def test_rows_of_deliveries_do_not_travel_for_the_comparison(spark, tmp_path):
+    """Only the few winners do; the rows stay where they were read, whatever their files weigh."""
+    old, new = rows.produccion(spark, rows.GREEN), rows.produccion(spark, rows.GREEN[:1], prod_pet=1.0)
+    both = old.withColumn(DELIVERY, F.lit("1")).unionByName(new.withColumn(DELIVERY, F.lit("2")))
+    both.write.parquet(str(tmp_path / "both"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = newest_delivery(spark.read.parquet(str(tmp_path / "both")))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        found = {(r["idpozo"], r["mes"], r["prod_pet"]) for r in kept.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == {(1, 1, 1.0), (1, 2, 80.0), (2, 2, 300.0)}
