@@ -126,6 +126,44 @@ def test_near_copies_in_chains_and_hot_lists(spark, monkeypatch, block, heavy):
     assert sorted(map(tuple, got), key=KEY) == sorted(expected(rows), key=KEY)
 
 
+def test_texts_that_share_only_a_passage_propose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HEAVY", 4)
+    rng, counts, pairs = random.Random(5), [], []
+    own = lambda n: " ".join(f"q{rng.randrange(10**7)}" for _ in range(n))
+    passage, near = own(40), own(100)
+    rows = [(i, f"{own(60)} {passage} {own(60)}") for i in range(40)] + [(100 + i, f"{near} {own(1 + i // 4)}") for i in range(24)]
+    kept = jaccard.stored
+
+    def counted(df, purpose):
+        table = kept(df, purpose)
+        if purpose == "proposed":
+            counts.append(table.where("not more").distinct().count())
+        if purpose == "pairs":
+            pairs.extend(tuple(sorted(r)) for r in table.collect())
+        return table
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    got = jaccard.similarity_join(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted(map(tuple, got), key=KEY) == sorted(expected(rows), key=KEY)
+    assert counts[0] <= 24 * 23 // 2  # pairs of the near copies; none of the 780 of the passage
+    assert len(pairs) == len(set(pairs))  # none is judged twice
+
+
+@pytest.mark.parametrize("sizes", [(3, 5), (390, 420), (790, 900), (1500, 1700), (2, 3000)])
+def test_parities_never_exceed_the_difference(sizes):
+    rng = np.random.default_rng(sum(sizes))
+    sets = [np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)) for n in sizes]
+    sets.append(np.unique(np.concatenate([sets[0][: len(sets[0]) // 2], sets[1]])))
+    of, n = np.repeat(np.arange(3), [len(x) for x in sets]), np.array([len(x) for x in sets])
+    signs = jaccard.Parities([*jaccard.parities(of, np.concatenate(sets), n), None])
+    for a in range(3):
+        assert signs.apart(np.array([a]), np.array([3]))[0] == 0
+        for b in range(3):
+            apart = len(np.setxor1d(sets[a], sets[b]))
+            found = signs.apart(np.array([a]), np.array([b]))[0]
+            assert found <= apart and found % 2 == apart % 2
+
+
 def test_one_of_each_group_stays(spark, messy, texts):
     kept = jaccard.one_of_each(spark, messy)
     assert kept.columns == messy.columns
