@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_words import words
 from pyspark.sql import functions as F
@@ -206,3 +207,29 @@ def test_many_rows_of_one_labelled_document_leave_the_others_in_the_sample(spark
     labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(1, 60)], "doc_id long, toxic int")
     got = {r.doc_id: r.score for r in toxicity.toxicity(spark, docs, labels).collect()}
     assert np.mean([got[i] for i in range(2, 60, 2)]) > np.mean([got[i] for i in range(3, 60, 2)]) + 0.3
+
+
+def test_stages_get_batches_of_bounded_bytes(spark, monkeypatch, tmp_path):
+    texts = spark.range(4000).selectExpr("id as doc_id", "repeat('some words ', 800) as text").coalesce(1)
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+
+    def stage(spark, docs, sf_dir):
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "size": [b.nbytes]})
+
+        return docs.mapInArrow(sizes, "n long, size long")
+
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING, None)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", stage)])
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sum(r.n for r in got) == 4000 and max(r["size"] for r in got) < 1.5 * corpus_pipeline.BATCH_BYTES
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING, None) == before
+
+
+def test_packed_feature_numbers_come_back():
+    rows = [np.array(x, np.int32) for x in ([], [0], [5, 2, 1 << 19, (1 << 20) - 1], range(0, 90000, 13))]
+    column = pa.chunked_array([pa.array([toxicity.packed_grams(x) for x in part], pa.binary()) for part in (rows[:2], rows[2:])])
+    for _ in range(2):
+        assert [x.tolist() for x in toxicity.Grams(column)] == [sorted(x.tolist()) for x in rows]
+    assert sum(map(len, column.to_pylist())) < sum(x.nbytes for x in rows) / 2
