@@ -20,13 +20,22 @@ from mensura.streaming.landing import merge_landing
 NAME_BLOCK = 1024
 
 
-def _drop_csv(df, path):
+#: Rows of a packed file, which one task reads as a whole.
+PACKED_ROWS = 500_000
+
+
+def _drop_csv(df, path, **options):
     """Write a raw drop with untrimmed texts; missing values appear as the text ``NA``."""
     spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.option("header", True).option("nullValue", "NA").options(**spaces).csv(path)
+    df.write.option("header", True).option("nullValue", "NA").options(**spaces, **options).csv(path)
     return path
 
 
+def _land(df, path):
+    """A drop that lands packed: plain text weighs more than all else that a merge puts on disk."""
+    return _drop_csv(df, path, compression="gzip", maxRecordsPerFile=PACKED_ROWS)
+
+
 def _production_drop(spark, sf_dir):
     return _drop_csv(Layers(spark, sf_dir).bronze_produccion(), scratch(spark, "drop"))
 
@@ -145,9 +154,9 @@ def stream_bronze_merge(spark, sf_dir):
     """A full drop lands, a corrected year lands later, and the stream merges both."""
     rows = Layers(spark, sf_dir).bronze_produccion()
     landing, target = scratch(spark, "landing"), scratch(spark, "bronze")
-    _drop_csv(rows, f"{landing}/1-full")
+    _land(rows, f"{landing}/1-full")
     corrected = load.period_filter(rows, dt.date(1998, 1, 1), dt.date(1998, 12, 1))
-    _drop_csv(corrected.withColumn("prod_pet", F.col("prod_pet") + 1), f"{landing}/2-corrected")
+    _land(corrected.withColumn("prod_pet", F.col("prod_pet") + 1), f"{landing}/2-corrected")
     stream = merge_landing(spark, landing, target, scratch(spark, "checkpoint"), BRONZE_PRODUCCION)
     stream.awaitTermination()
     return _per_period(_bronze(spark, target))
@@ -158,10 +167,10 @@ def stream_bronze_mixed_headers(spark, sf_dir):
     """A full drop lands, and a corrected year with its columns in another order and two unknown ones."""
     rows = Layers(spark, sf_dir).bronze_produccion()
     landing, target, checkpoint = (scratch(spark, n) for n in ("landing", "bronze", "checkpoint"))
-    _drop_csv(rows, f"{landing}/1-full")
+    _land(rows, f"{landing}/1-full")
     corrected = load.period_filter(rows, dt.date(1998, 1, 1), dt.date(1998, 12, 1)).withColumn("prod_pet", F.col("prod_pet") + 1)
     other = [F.lit("x").alias("nota"), *[F.col(c) for c in reversed(BRONZE_PRODUCCION.names)], F.lit(1).alias("version")]
-    _drop_csv(corrected.select(*other), f"{landing}/2-corrected")
+    _land(corrected.select(*other), f"{landing}/2-corrected")
     merge_landing(spark, landing, target, checkpoint, BRONZE_PRODUCCION).awaitTermination()
     return _per_period(_bronze(spark, target))
 
